@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 # ("5d", "1_0", "1,299.00" and "inf" are all null).
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 INTEGER = r"^[+-]?\d+$"
-BLANKS = " \t\n\r\f\u000b "
+BLANKS = " \t\n\r\f\u000b\u00a0"
 DATE_PATTERNS = ("d MMM, yyyy", "MMM d, yyyy", "d MMMM, yyyy", "MMMM d, yyyy", "yyyy-MM-dd")
 
 
