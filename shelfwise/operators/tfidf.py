@@ -60,7 +60,8 @@ def fit_vocabulary(
 
     ``copies`` lists every document, also those without any text.
     """
-    docs = texts.select(key, text).join(materialize(copies, "copies"), key)
+    copies = materialize(copies, "copies")
+    docs = texts.select(key, text).join(copies, key)
     total = tokens(docs, text, "copies").groupBy("term").agg(F.sum("copies").alias("tf"))
     terms = materialize(top_terms(total, max_features), "terms")
     counts = materialize(count_terms(docs, key, text, terms), "term-counts")
