@@ -16,9 +16,8 @@ WORD = r"[\p{L}\p{N}_]{2,}"
 
 def clean_review(c: Column | str) -> Column:
     """Drop symbols other than letters, digits and basic punctuation, collapse
-    blanks to one space and trim; null gives empty text."""
-    spaced = F.regexp_replace(F.coalesce(_col(c), F.lit("")), r"[\r\n\t]+", " ")
-    plain = F.regexp_replace(spaced, f"[^{KEPT}{BLANK}]+", "")
+    blanks (line breaks and tabs too) to one space and trim; null gives empty text."""
+    plain = F.regexp_replace(F.coalesce(_col(c), F.lit("")), f"[^{KEPT}{BLANK}]+", "")
     return F.trim(F.regexp_replace(plain, f"[{BLANK}]+", " "))
 
 
@@ -41,5 +40,5 @@ def words(c: Column | str) -> Column:
 def pair_value(labels: Column | str, values: Column | str, wanted: str) -> Column:
     """Value standing at the position of the last label that contains ``wanted``."""
     pairs = F.arrays_zip(_col(labels).alias("k"), _col(values).alias("v"))
-    hits = F.filter(pairs, lambda p: F.lower(strip(p["0"])).contains(wanted))
-    return F.coalesce(strip(F.get(hits, F.size(hits) - 1)["1"]), F.lit(""))
+    hits = F.filter(pairs, lambda p: F.lower(strip(p["k"])).contains(wanted))
+    return F.coalesce(strip(F.get(hits, F.size(hits) - 1)["v"]), F.lit(""))

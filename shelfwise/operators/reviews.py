@@ -25,23 +25,17 @@ def cap_reviews(
     return df.withColumn("_rn", F.row_number().over(line)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def long_text_parts(
-    reviews: DataFrame, key: str, text: str, span: str, part_bytes: int = PART_BYTES
-) -> DataFrame:
+def long_text_parts(reviews: DataFrame, key: str, size: str, span: str, part_bytes: int = PART_BYTES) -> DataFrame | None:
     """Rows (key, span, review_part) with ``review_part > 0``: where the text of a
-    listing passes ``part_bytes``. Empty unless some listing is that long.
+    listing passes ``part_bytes``. None unless some listing is that long.
 
-    Only (key, span, bytes) rows are shuffled, and only those of long listings
-    are ordered.
+    Texts are not shuffled here, only sizes; only spans of long listings are ordered.
     """
-    spans = reviews.where(F.col(text).isNotNull()).groupBy(key, span).agg(
-        F.sum(F.octet_length(text).cast("bigint") + 1).alias("_bytes")
-    )
-    spans = materialize(spans, "spans")
-    long = spans.groupBy(key).agg(F.sum("_bytes").alias("_all")).where(F.col("_all") > part_bytes).select(key)
-    if long.isEmpty():
-        return spans.select(key, span, F.lit(0).cast("bigint").alias("review_part")).limit(0)
-    placed = running_totals(spans.join(long, key, "left_semi"), [key], span, ["_bytes"])
+    totals = reviews.groupBy(key).agg(F.sum(size).alias("_all")).where(F.col("_all") > part_bytes).select(key)
+    if totals.isEmpty():
+        return None
+    sizes = reviews.groupBy(key, span).agg(F.sum(size).alias("_bytes"))
+    placed = running_totals(sizes.join(totals, key, "left_semi"), [key], span, ["_bytes"])
     before = F.col("cum__bytes") - F.col("_bytes")
     return placed.select(
         key, span, F.floor(before / F.lit(part_bytes)).cast("bigint").alias("review_part")
@@ -54,6 +48,7 @@ def aggregate_reviews(
     text: str = "review",
     order: str = "timestamp_created",
     span: Column | None = None,
+    size: Column | None = None,
     part_bytes: int | None = PART_BYTES,
     name: str = "all_reviews",
 ) -> DataFrame:
@@ -64,14 +59,20 @@ def aggregate_reviews(
     part 0. One whose text passes ``part_bytes`` continues in parts 1, 2, …: joined
     by a space in part order they are the whole text, and no task ever holds more
     than one part plus one ``span`` of the order column (an hour by default).
-    ``part_bytes=None`` skips the size check where texts are known to be short.
+    ``size`` is an upper bound of a text's bytes, where one is cheaper than the text
+    itself; ``part_bytes=None`` skips the check where texts are known to be short.
     """
     part = F.lit(0).cast("bigint")
     if part_bytes is not None:
-        span = F.floor(F.col(order) / F.lit(3600)).cast("bigint") if span is None else span
-        reviews = reviews.withColumn("_span", span)
-        cuts = long_text_parts(reviews, key, text, "_span", part_bytes)
-        if not cuts.isEmpty():
+        bytes_ = F.octet_length(text) if size is None else size
+        reviews = reviews.withColumns(
+            {
+                "_span": F.floor(F.col(order) / F.lit(3600)).cast("bigint") if span is None else span,
+                "_size": F.coalesce(bytes_.cast("bigint") + 1, F.lit(0).cast("bigint")),
+            }
+        )
+        cuts = long_text_parts(reviews, key, "_size", "_span", part_bytes)
+        if cuts is not None:
             reviews = reviews.join(materialize(cuts, "parts"), [key, "_span"], "left")
             part = F.coalesce("review_part", part)
     joined = F.expr(f"string_agg(`{text}`, ' ') WITHIN GROUP (ORDER BY `{order}`, `{text}`)")

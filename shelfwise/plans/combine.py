@@ -12,13 +12,17 @@ from shelfwise.operators.reviews import PART_BYTES, aggregate_reviews
 
 
 def cleaned_reviews(reviews: DataFrame) -> DataFrame:
-    """Reviews with clean text; those without any text left are dropped.
+    """Reviews with clean text (null where none is left) and their raw size.
 
     Cleaning a joined text equals joining the cleaned texts, so it is done here,
     before the shuffle, on single reviews.
     """
-    clean = reviews.withColumn("review", clean_review("review"))
-    return clean.where(F.col("review") != "")
+    return reviews.select(
+        "game_id",
+        "timestamp_created",
+        F.octet_length("review").alias("raw_bytes"),
+        F.nullif(clean_review("review"), F.lit("")).alias("review"),
+    )
 
 
 def combine(
@@ -42,7 +46,9 @@ def combine(
     )
     if not keep_free:
         base = exclude_free(base)
-    texts = aggregate_reviews(cleaned_reviews(reviews), part_bytes=part_bytes, name="review")
+    texts = aggregate_reviews(
+        cleaned_reviews(reviews), size=F.col("raw_bytes"), part_bytes=part_bytes, name="review"
+    )
     joined = base.join(owners.select("game_id", "owners"), "game_id", "left").join(texts, "game_id", "left")
     return joined.select(
         "game_id", "name", "release_date", "total_reviews", "positive_percent", "genres", "tags",

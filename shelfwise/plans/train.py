@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegressionModel, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,7 +95,8 @@ def fit_model(train: DataFrame, trial: Trial, label: str = "discount_pct", seed:
     """Fit one family. Tree depth stops at Spark's limit of 30; a minimum split of n
     becomes a minimum leaf of n/2. GBT grows by level, so a leaf limit becomes the
     depth that holds that many leaves. ExtraTrees is approximated by unsampled trees
-    over all features with few split candidates."""
+    over a third of the features with few split candidates (Spark has no random
+    thresholds)."""
     p = trial.params
     depth = min(int(p.get("depth", 5)), MAX_DEPTH)
     leaf = max(1, int(p.get("min_split", 2)) // 2)
@@ -203,10 +204,6 @@ def score(rows: DataFrame, vectors: PipelineModel, model, key: str = "game_id")
     return model.transform(vectors.transform(rows)).select(key, F.col("prediction").alias("predicted_discount_pct"))
 
 
-def linear_prediction(df: DataFrame, model: LinearRegressionModel) -> DataFrame:
-    return model.transform(df)
-
-
 def as_vectors(df: DataFrame, columns: list[str]) -> DataFrame:
     """Plain numeric columns as a feature vector."""
     return df.withColumn("features", array_to_vector(F.array(*[F.col(c).cast("double") for c in columns])))

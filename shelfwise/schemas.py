@@ -5,8 +5,22 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "string": T.StringType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "params": T.MapType(T.StringType(), T.StringType()),
+}
+
+
+def _struct(fields: str) -> T.StructType:
+    """Schema from ``name type`` pairs; needs no running session."""
+    pairs = (field.split() for field in fields.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 LISTINGS = _struct(
@@ -38,8 +52,11 @@ OWNER_PAYLOAD = T.StructType(
     [T.StructField(f.name, T.StringType()) for f in OWNERS.fields if f.name != "game_id"]
 )
 
-REVIEW_PAGE = _struct(
-    "cursor string, reviews array<struct<review: string, timestamp_created: bigint, voted_up: boolean>>"
+REVIEW_PAGE = T.StructType(
+    [
+        T.StructField("cursor", T.StringType()),
+        T.StructField("reviews", T.ArrayType(_struct("review string, timestamp_created bigint, voted_up boolean"))),
+    ]
 )
 
 METRICS = _struct(
@@ -49,7 +66,7 @@ METRICS = _struct(
 )
 
 RUNS = _struct(
-    "run_id string, run_name string, model_type string, params map<string,string>, "
+    "run_id string, run_name string, model_type string, params params, "
     "rmse double, mae double, mape double"
 )
 
