@@ -9,7 +9,7 @@ from checks.views import AS_OF, view
 from shelfwise import schemas
 from shelfwise.functions import scalars, text
 from shelfwise.operators import cleaning
-from shelfwise.plans.combine import combine
+from shelfwise.plans.combine import combine, combine_rows
 from shelfwise.session import fresh_path
 from shelfwise.sources import payloads, tables
 
@@ -29,6 +29,10 @@ def combined(spark, sf, **options):
     return combine(view(spark, sf, "listings"), view(spark, sf, "owners"), view(spark, sf, "reviews"), AS_OF, **options)
 
 
+def combined_rows(spark, sf):
+    return combine_rows(view(spark, sf, "listings"), view(spark, sf, "owners"), AS_OF)
+
+
 def listings(spark, sf):
     return view(spark, sf, "listings")
 
@@ -228,7 +232,7 @@ _COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in _REQUIRED)
     *COMBINED_VIEWS,
 )
 def drop_incomplete(spark, sf):
-    return cleaning.drop_incomplete(combined(spark, sf)).select("game_id", "name", "total_reviews", "owners")
+    return cleaning.drop_incomplete(combined_rows(spark, sf)).select("game_id", "name", "total_reviews", "owners")
 
 
 @query(

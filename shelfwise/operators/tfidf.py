@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -65,10 +67,10 @@ def fit_vocabulary(
     total = tokens(docs, text, "copies").groupBy("term").agg(F.sum("copies").alias("tf"))
     terms = materialize(top_terms(total, max_features), "terms")
     counts = materialize(count_terms(docs, key, text, terms), "term-counts")
-    n_docs = copies.agg(F.coalesce(F.sum("copies"), F.lit(0))).scalar()
+    n_docs = copies.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
     df = counts.groupBy("term").agg(F.sum("copies").alias("df"))
-    idf = F.ln((1 + n_docs) / (1 + F.col("df"))) + 1
-    return materialize(terms.join(df, "term").withColumn("idf", idf), "idf"), counts
+    idf = F.ln(F.lit(1.0 + n_docs) / (1 + F.col("df"))) + 1
+    return terms.join(F.broadcast(df), "term").withColumn("idf", idf), counts
 
 
 def weigh(counts: DataFrame, terms: DataFrame, key: str) -> DataFrame:
@@ -84,44 +86,69 @@ def weigh(counts: DataFrame, terms: DataFrame, key: str) -> DataFrame:
 
 
 def document_vectors(weights: DataFrame, key: str) -> DataFrame:
-    """One row (key, copies, vec) per document, vec being its (idx, weight) pairs."""
-    return weights.groupBy(key, "copies").agg(
-        F.array_sort(F.collect_list(F.struct("idx", "weight"))).alias("vec")
+    """One row (key, copies, idx, weight) per document: parallel arrays by idx."""
+    packed = weights.groupBy(key, "copies").agg(
+        F.array_sort(F.collect_list(F.struct("idx", "weight"))).alias("v")
     )
-
-
-def _project(vec: str, direction: list[float]) -> Column:
-    v = F.array(*[F.lit(x) for x in direction])
-    return F.aggregate(vec, F.lit(0.0), lambda acc, e: acc + e["weight"] * F.get(v, e["idx"]))
+    return packed.select(key, "copies", F.col("v.idx").alias("idx"), F.col("v.weight").alias("weight"))
+
+
+def _pulled(vectors: DataFrame, block: np.ndarray) -> np.ndarray:
+    """``XᵀX @ block`` in one scan: each task multiplies its documents and emits at
+    most ``width`` rows per direction."""
+    width, sides = block.shape
+
+    def partial(batches):
+        total = np.zeros((width, sides))
+        for batch in batches:
+            if not len(batch):
+                continue
+            sizes = batch["idx"].map(len).to_numpy()
+            idx, w = np.concatenate(batch["idx"].to_numpy()), np.concatenate(batch["weight"].to_numpy())
+            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+            dots = np.add.reduceat(w[:, None] * block[idx], starts) * batch["copies"].to_numpy()[:, None]
+            spread = w[:, None] * np.repeat(dots, sizes, axis=0)
+            for j in range(sides):
+                total[:, j] += np.bincount(idx, weights=spread[:, j], minlength=width)
+        rows, cols = np.nonzero(total)
+        yield pd.DataFrame({"i": rows, "j": cols, "x": total[rows, cols]})
+
+    sums = vectors.select("copies", "idx", "weight").mapInPandas(partial, "i int, j int, x double")
+    out = np.zeros((width, sides))
+    for row in sums.groupBy("i", "j").agg(F.sum("x").alias("x")).collect():
+        out[row.i, row.j] = row.x
+    return out
 
 
 def principal_direction(
-    vectors: DataFrame, width: int, steps: int = 30, tolerance: float | None = 1e-9
-) -> list[float]:
-    """First right-singular vector of the document vectors by power iteration.
-
-    Each step is one scan with a row-local dot product and one small aggregate
-    (at most ``width`` groups per task); the driver holds one vector of ``width``
-    numbers, as any fitted linear model does. All weights are non-negative, so a
-    non-negative start converges to the non-negative singular vector.
+    vectors: DataFrame, width: int, steps: int = 12, tolerance: float | None = 1e-7, extra: int = 7
+) -> np.ndarray:
+    """First right-singular vector of the document vectors by subspace iteration.
+
+    Each step is one scan and one small aggregate; the driver holds ``1 + extra``
+    vectors of ``width`` numbers. ``extra`` directions speed up convergence when the
+    leading singular values lie close together (texts in several languages); 0 is
+    the plain power method. All weights are non-negative, which fixes the sign.
     """
-    v = [1.0 / math.sqrt(width)] * width
+    sides = min(1 + extra, width)
+    draw = np.random.default_rng(0)
+    block = np.column_stack([np.ones(width), *(draw.standard_normal(width) for _ in range(sides - 1))])
+    lead = block[:, 0] / math.sqrt(width)
     for _ in range(steps):
-        scored = vectors.withColumn("_s", F.col("copies") * _project("vec", v))
-        pulled = scored.select("_s", F.explode("vec").alias("e")).groupBy(F.col("e.idx").alias("idx"))
-        rows = pulled.agg(F.sum(F.col("_s") * F.col("e.weight")).alias("x")).collect()
-        new = [0.0] * width
-        for row in rows:
-            new[row.idx] = row.x
-        norm = math.sqrt(math.fsum(x * x for x in new))
+        block, _ = np.linalg.qr(block)
+        pulled = _pulled(vectors, block)
+        # Best direction within the block (Rayleigh-Ritz), then one step further.
+        _, mix = np.linalg.eigh(block.T @ pulled)
+        block = pulled @ mix[:, ::-1]
+        new = block[:, 0]
+        norm = np.linalg.norm(new)
         if norm == 0:
-            return new
-        new = [x / norm for x in new]
-        moved = max(abs(a - b) for a, b in zip(new, v))
-        v = new
+            return np.zeros(width)
+        new = new / norm * (1.0 if new.sum() >= 0 else -1.0)
+        moved, lead = np.abs(new - lead).max(), new
         if tolerance is not None and moved < tolerance:
             break
-    return v
+    return lead
 
 
 def fit_review_score(
@@ -130,8 +157,9 @@ def fit_review_score(
     text: str = "review",
     copies: DataFrame | None = None,
     max_features: int = MAX_FEATURES,
-    steps: int = 30,
-    tolerance: float | None = 1e-9,
+    steps: int = 12,
+    tolerance: float | None = 1e-7,
+    extra: int = 7,
 ) -> DataFrame:
     """Fitted state (term, idx, tf, df, idf, direction): at most ``max_features`` rows."""
     copies = copies if copies is not None else texts.select(key).distinct().withColumn("copies", F.lit(1))
@@ -140,9 +168,10 @@ def fit_review_score(
     width = terms.agg(F.coalesce(F.max("idx"), F.lit(-1)) + 1).first()[0]
     if width == 0:
         return terms.withColumn("direction", F.lit(0.0))
-    v = principal_direction(vectors, width, steps, tolerance)
-    direction = F.get(F.array(*[F.lit(x) for x in v]), F.col("idx"))
-    return materialize(terms.withColumn("direction", direction), "review-score")
+    v = principal_direction(vectors, width, steps, tolerance, extra)
+    rows = pd.DataFrame({"idx": range(width), "direction": v})
+    directions = texts.sparkSession.createDataFrame(rows, "idx int, direction double")
+    return materialize(terms.join(F.broadcast(directions), "idx"), "review-score")
 
 
 def review_scores(texts: DataFrame, state: DataFrame, key: str = "game_id", text: str = "review") -> DataFrame:

@@ -9,6 +9,7 @@ from shelfwise.functions.scalars import days_since, parse_owners, parse_release_
 from shelfwise.functions.text import clean_review
 from shelfwise.operators.cleaning import exclude_free
 from shelfwise.operators.reviews import PART_BYTES, aggregate_reviews
+from shelfwise.schemas import COMBINED
 
 
 def cleaned_reviews(reviews: DataFrame) -> DataFrame:
@@ -25,6 +26,23 @@ def cleaned_reviews(reviews: DataFrame) -> DataFrame:
     )
 
 
+def combine_rows(listings: DataFrame, owners: DataFrame, as_of: str, keep_free: bool = False) -> DataFrame:
+    """Listings with their owner range and age, without review text.
+
+    The join is left outer and keeps duplicates: n copies of a listing times m
+    owner rows. The free filter is on the kept side and runs before the join.
+    """
+    base = listings if keep_free else exclude_free(listings)
+    base = base.withColumn("release_date", parse_release_date("release_date"))
+    joined = base.join(owners.select("game_id", "owners"), "game_id", "left")
+    return joined.select(
+        "game_id", "name", "release_date", "total_reviews", "positive_percent", "genres", "tags",
+        "current_price", "discounted_price", "owners",
+        days_since("release_date", as_of).alias("days_after_publish"),
+        parse_owners("owners").alias("o"),
+    ).select("*", "o.*").drop("o")
+
+
 def combine(
     listings: DataFrame,
     owners: DataFrame,
@@ -35,26 +53,16 @@ def combine(
 ) -> DataFrame:
     """Listings with their owner range and review text; free listings left out.
 
-    Both joins are left outer and keep duplicates (n copies of a listing times m
-    owner rows). ``review_part`` is 0, except that a text too long for one value
-    continues in further rows of the same listing; ``review_part = 0`` is always
-    exactly one row per combined listing.
+    ``review_part`` is 0, except that a text too long for one value continues in
+    further rows of the same listing; ``review_part = 0`` is always exactly one row
+    per combined listing.
     """
-    base = listings.select(
-        "game_id", "name", parse_release_date("release_date").alias("release_date"), "total_reviews",
-        "positive_percent", "genres", "tags", "current_price", "discounted_price",
-    )
-    if not keep_free:
-        base = exclude_free(base)
+    rows = combine_rows(listings, owners, as_of, keep_free)
     texts = aggregate_reviews(
         cleaned_reviews(reviews), size=F.col("raw_bytes"), part_bytes=part_bytes, name="review"
     )
-    joined = base.join(owners.select("game_id", "owners"), "game_id", "left").join(texts, "game_id", "left")
-    return joined.select(
-        "game_id", "name", "release_date", "total_reviews", "positive_percent", "genres", "tags",
-        "current_price", "discounted_price", "owners",
-        days_since("release_date", as_of).alias("days_after_publish"),
+    return rows.join(texts, "game_id", "left").select(
+        *[c for c in COMBINED.names if c != "review"],
         F.coalesce("review", F.lit("")).alias("review"),
-        parse_owners("owners").alias("o"),
         F.coalesce("review_part", F.lit(0).cast("bigint")).alias("review_part"),
-    ).select("*", "o.*").drop("o")
+    )

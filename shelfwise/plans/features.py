@@ -13,6 +13,7 @@ from shelfwise.functions.scalars import discount_fraction
 from shelfwise.functions.text import split_trim
 from shelfwise.operators import cleaning, encoding, pricing, tfidf
 from shelfwise.schemas import MONITORED_FEATURES, SEED
+from shelfwise.session import materialize
 
 
 @dataclass
@@ -49,8 +50,9 @@ def clean_frame(combined: DataFrame, drop_empty: bool = False) -> DataFrame:
 
 def listing_rows(combined: DataFrame) -> DataFrame:
     """The combined listings without their text: continued parts are left out."""
-    rows = combined.where("review_part = 0").drop("review_part") if "review_part" in combined.columns else combined
-    return rows.drop("review")
+    if "review_part" in combined.columns:
+        combined = combined.where("review_part = 0")
+    return combined.drop("review_part", "review")
 
 
 def review_texts(combined: DataFrame) -> DataFrame:
@@ -59,16 +61,16 @@ def review_texts(combined: DataFrame) -> DataFrame:
     return combined.where(F.col("review") != "").dropDuplicates(parts).select("game_id", "review")
 
 
-def fit_state(frame: DataFrame, texts: DataFrame, max_terms: int = tfidf.MAX_FEATURES, steps: int = 30) -> FeatureState:
+def fit_state(frame: DataFrame, texts: DataFrame, max_terms: int = tfidf.MAX_FEATURES, steps: int = 12) -> FeatureState:
     """Fit on the given frame: pass all rows, or the training rows only to keep the
     hold-out unseen. ``texts`` may be single reviews; they are never joined up."""
     terms = tfidf.fit_review_score(
         texts, copies=tfidf.document_copies(frame, "game_id"), max_features=max_terms, steps=steps
     )
     return FeatureState(
-        genres=encoding.vocabulary(frame, "genres"),
-        tags=encoding.vocabulary(frame, "tags"),
-        tag_prices=pricing.tag_median_prices(frame),
+        genres=materialize(encoding.vocabulary(frame, "genres"), "genres"),
+        tags=materialize(encoding.vocabulary(frame, "tags"), "tags"),
+        tag_prices=materialize(pricing.tag_median_prices(frame), "tag-prices"),
         terms=terms,
     )
 
@@ -108,10 +110,13 @@ class NumberScaler:
 
 def training_frame(
     combined: DataFrame, texts: DataFrame | None = None, fit_on: str = "all", max_terms: int = tfidf.MAX_FEATURES,
-    steps: int = 30, seed: int = SEED,
+    steps: int = 12, seed: int = SEED,
 ) -> tuple[DataFrame, FeatureState]:
     """(frame with features and target, fitted state); rows without a target left out.
 
+    ``combined`` may come with or without review text; ``texts`` (game_id, review)
+    may be single reviews, which is the way for listings with very many of them.
+
     ``fit_on='all'`` fits the state on every row before the split; ``'train'``
     keeps the hold-out rows out of it.
     """
@@ -119,6 +124,7 @@ def training_frame(
         raise ValueError(fit_on)
     texts = review_texts(combined) if texts is None else texts
     frame = clean_frame(listing_rows(combined)).where(F.col("discount_pct").isNotNull())
+    frame = materialize(frame, "frame")  # read by every fit below
     basis = frame if fit_on == "all" else encoding.split(frame, seed=seed)[0]
     state = fit_state(basis, texts, max_terms, steps)
     return add_features(frame, texts, state), state
@@ -130,7 +136,7 @@ def monitoring_frame(combined: DataFrame, texts: DataFrame, state: FeatureState,
 
     ``discounted_price`` is compared although no model is trained on it.
     """
-    frame = clean_frame(listing_rows(combined), drop_empty=True)
+    frame = materialize(clean_frame(listing_rows(combined), drop_empty=True), "batch")
     full = add_features(frame, texts, state)
     full = pricing.restrict_to_vocabulary(full, "genres", state.genres)
     full = pricing.restrict_to_vocabulary(full, "tags", state.tags)
