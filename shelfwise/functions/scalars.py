@@ -53,8 +53,8 @@ def parse_price(c: Column | str) -> Column:
 
 
 def format_price(c: Column | str) -> Column:
-    """14.5 → ``$14.50``."""
-    return F.format_string("$%.2f", _col(c))
+    """14.5 → ``$14.50``; null stays null."""
+    return F.when(_col(c).isNotNull(), F.format_string("$%.2f", _col(c)))
 
 
 def discount_fraction(current: Column | str, discounted: Column | str) -> Column:

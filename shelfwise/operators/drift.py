@@ -9,6 +9,7 @@ range partitions, so that no column or batch has to fit into one task.
 from __future__ import annotations
 
 import math
+from itertools import takewhile
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,8 +47,10 @@ def contiguous_buckets(buckets: DataFrame, column: str = "bucket") -> DataFrame:
 
 
 def bucket_list(df: DataFrame, column: str = "bucket") -> list[int]:
-    """The replayed buckets in order (one number per dated batch)."""
-    return sorted(row[0] for row in contiguous_buckets(df, column).collect())
+    """The replayed buckets in order: one number per dated batch, the same choice as
+    ``contiguous_buckets``, read in one job to plan the comparison."""
+    seen = {row[0] for row in df.select(column).where(F.col(column) >= 0).distinct().collect()}
+    return list(takewhile(seen.__contains__, range(len(seen))))
 
 
 def side_counts(
