@@ -69,19 +69,19 @@ def group_mean_baseline(spark, sf):
 
 @query(
     "leaderboard",
-    f"WITH {RUNS_SQL} SELECT run_id, {_ROUNDED}, rank() OVER (ORDER BY rmse) AS position FROM runs ORDER BY rmse LIMIT 100",
+    f"WITH {RUNS_SQL} SELECT run_id, {_ROUNDED}, rank() OVER (ORDER BY rmse) AS position FROM runs ORDER BY runs.rmse LIMIT 100",
     "predictions",
 )
 def leaderboard(spark, sf):
     return rounded(evaluation.leaderboard(runs(spark, sf)))
 
 
-@query("best_run", f"WITH {RUNS_SQL} SELECT run_id, {_ROUNDED} FROM runs ORDER BY rmse, run_id LIMIT 1", "predictions")
+@query("best_run", f"WITH {RUNS_SQL} SELECT run_id, {_ROUNDED} FROM runs ORDER BY runs.rmse, runs.run_id LIMIT 1", "predictions")
 def best_run(spark, sf):
     return rounded(evaluation.best_run(runs(spark, sf)))
 
 
-@query("best_trial", f"WITH {RUNS_SQL} SELECT run_id, {_ROUNDED} FROM runs ORDER BY mae, run_id LIMIT 1", "predictions")
+@query("best_trial", f"WITH {RUNS_SQL} SELECT run_id, {_ROUNDED} FROM runs ORDER BY runs.mae, runs.run_id LIMIT 1", "predictions")
 def best_trial(spark, sf):
     return rounded(evaluation.best_trial(runs(spark, sf)))
 

@@ -319,10 +319,15 @@ def feature_table(spark, sf):
     )
 
 
-def training(spark, sf, **options):
-    """(frame with all features, state) from single cleaned reviews."""
+def clean_texts(spark, sf):
+    """Single cleaned reviews, written once and read by every fitting pass."""
     texts = cleaned_reviews(view(spark, sf, "reviews")).where("review IS NOT NULL")
-    return features.training_frame(combined_rows(spark, sf), texts, **options)
+    return materialize(texts.select("game_id", "review"), "texts")
+
+
+def training(spark, sf, **options):
+    """(frame with all features, state)."""
+    return features.training_frame(combined_rows(spark, sf), clean_texts(spark, sf), **options)
 
 
 @query("training_frame", None)
@@ -336,8 +341,8 @@ def training_frame(spark, sf):
 
 @query("monitoring_frame", None)
 def monitoring_frame(spark, sf):
-    texts = cleaned_reviews(view(spark, sf, "reviews")).where("review IS NOT NULL")
-    _, state = training(spark, sf)
+    texts = clean_texts(spark, sf)
+    _, state = features.training_frame(combined_rows(spark, sf), texts)
     return features.monitoring_frame(combined_rows(spark, sf), texts, state)
 
 
