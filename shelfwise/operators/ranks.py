@@ -65,20 +65,27 @@ def exact_quantile(
     """Exact interpolated quantile per group; nulls are left out.
 
     The sketch errs by at most ``1/accuracy`` of the ranks, so a bracket of
-    ``2/accuracy`` either side always holds the quantile. The brackets are
-    written (one row per group), which lets the planner broadcast them only when
-    they are small; the second pass keeps one count for everything below the
-    bracket and drops what lies above it.
+    ``2/accuracy`` either side always holds the quantile once a group has
+    ``2 * accuracy`` rows; smaller groups are ranked whole. The brackets are written
+    (one row per group), which lets the planner broadcast them only when they are
+    small; the second pass keeps one count for everything below the bracket and
+    drops what lies above it.
     """
     grouped = keys or ["_all"]
     known = (df if keys else df.withColumn("_all", F.lit(1))).where(F.col(value).isNotNull())
     known = known.select(*grouped, F.col(value).cast("double").alias("_v"))
     margin = 2.0 / accuracy
     spread = [max(0.0, q - margin), min(1.0, q + margin)]
+    large, endless = F.col("_size") >= 2 * accuracy, F.lit(float("inf"))
     brackets = materialize(
         known.groupBy(*grouped)
         .agg(F.percentile_approx("_v", spread, accuracy).alias("_b"), F.count("*").alias("_size"))
-        .select(*grouped, F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"), "_size"),
+        .select(
+            *grouped,
+            F.when(large, F.col("_b")[0]).otherwise(-endless).alias("_lo"),
+            F.when(large, F.col("_b")[1]).otherwise(endless).alias("_hi"),
+            "_size",
+        ),
         "brackets",
     )
     inside = (

@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,15 +54,15 @@ class LinearSVRModel:
         return df.withColumn("prediction", self.prediction())
 
 
-def _step_sums(df: DataFrame, w: np.ndarray, epsilon: float) -> np.ndarray:
-    """Sum over rows of ``sign(residual) * [features, 1]`` where the residual leaves
-    the tolerance band: one vector per task, merged in a tree."""
+def _step_sums(df: DataFrame, w: np.ndarray, mean: np.ndarray, spread: np.ndarray, epsilon: float) -> np.ndarray:
+    """Sum over rows of ``sign(residual) * [standardised features, 1]`` where the
+    residual leaves the tolerance band: one vector per task, merged in a tree."""
 
     def partial(batches):
         total = np.zeros(len(w))
         for batch in batches:
             if len(batch):
-                x = np.stack(batch["x"].to_numpy())
+                x = (np.stack(batch["x"].to_numpy()) - mean) / spread
                 off = batch["y"].to_numpy() - x @ w[:-1] - w[-1]
                 pull = np.where(np.abs(off) > epsilon, np.sign(off), 0.0)
                 total += np.append(pull @ x, pull.sum())
@@ -75,20 +76,29 @@ def fit_linear_svr(
     train: DataFrame, epsilon: float = 0.01, c: float = 1.0, steps: int = SVR_STEPS, label: str = "discount_pct"
 ) -> LinearSVRModel:
     """Linear fit that ignores errors up to ``epsilon``: decreasing sub-gradient steps
-    on ``|w|^2/2 + c * sum(max(0, |y - wx - b| - epsilon))`` and the mean of the later
-    half of the iterates."""
-    data = materialize(train.select(vector_to_array("features").alias("x"), F.col(label).cast("double").alias("y")), "svr")
-    n, width = data.agg(F.count("*"), F.max(F.size("x"))).first()
+    on ``|w|^2/2 + c * sum(max(0, |y - wx - b| - epsilon))`` over standardised
+    features, and the mean of the later half of the iterates."""
+    stats = train.agg(
+        Summarizer.metrics("mean", "std", "count").summary(F.col("features")).alias("s"), F.percentile_approx(label, 0.5).alias("y")
+    ).first()
+    n = stats.s["count"]
     if not n:
         raise ValueError("no training rows")
+    mean, spread = stats.s["mean"].toArray(), stats.s["std"].toArray()
+    spread = np.where(spread > 0, spread, 1.0)
+    data = materialize(train.select(vector_to_array("features").alias("x"), F.col(label).cast("double").alias("y")), "svr")
     decay = 1.0 / (c * n)
-    w, tail, kept = np.zeros(width + 1), np.zeros(width + 1), 0
+    w = np.append(np.zeros(len(mean)), float(stats.y))
+    tail, kept = np.zeros(len(w)), 0
     for t in range(1, steps + 1):
-        rate = min(1.0 / (decay * t), 1.0 / np.sqrt(t))
-        w = (1 - min(rate * decay, 1.0)) * w + rate * _step_sums(data, w, epsilon) / n
+        rate = 0.1 / np.sqrt(t) / (1.0 + 0.1 * decay)
+        shrink = np.append(np.full(len(mean), 1 - rate * decay), 1.0)
+        w = shrink * w + rate * _step_sums(data, w, mean, spread, epsilon) / n
         if t > steps // 2:
             tail, kept = tail + w, kept + 1
-    return LinearSVRModel([float(x) for x in tail / kept])
+    w = tail / kept
+    plain = w[:-1] / spread
+    return LinearSVRModel([*map(float, plain), float(w[-1] - plain @ mean)])
 
 
 def fit_model(train: DataFrame, trial: Trial, label: str = "discount_pct", seed: int = SEED):

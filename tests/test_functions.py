@@ -31,7 +31,7 @@ def test_parse_price(spark, value, wanted):
     [
         ("0 .. 20,000", (0.0, 20000.0, 0.0)),
         ("50000..100000", (50000.0, 100000.0, 70710.678119)),
-        ("100,000,000 .. 200,000,000", (1e8, 2e8, 141421356.237309)),
+        ("100,000,000 .. 200,000,000", (1e8, 2e8, 141421356.23731)),
         ("", (None,) * 3), ("abc", (None,) * 3), ("1 .. 2 .. 3", (None,) * 3), (None, (None,) * 3), ("5 ..", (None,) * 3),
     ],
 )
