@@ -45,7 +45,7 @@ def tag_median_price(spark, sf):
     "listings",
 )
 def competitor_price(spark, sf):
-    rows = priced(spark, sf)
+    rows = materialize(priced(spark, sf), "priced")
     fitted = pricing.tag_median_prices(encoding.split(rows)[0])
     out = pricing.competitor_price(rows, fitted)
     return out.select("game_id", "total_reviews", r6("competitor_pricing").alias("competitor_pricing"))
@@ -321,8 +321,7 @@ def feature_table(spark, sf):
 
 def clean_texts(spark, sf):
     """Single cleaned reviews, written once and read by every fitting pass."""
-    texts = cleaned_reviews(view(spark, sf, "reviews")).where("review IS NOT NULL")
-    return materialize(texts.select("game_id", "review"), "texts")
+    return materialize(cleaned_reviews(view(spark, sf, "reviews")), "texts")
 
 
 def training(spark, sf, **options):

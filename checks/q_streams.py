@@ -12,6 +12,7 @@ from shelfwise.functions.scalars import bucket_of
 from shelfwise.operators import drift
 from shelfwise.plans import monitor
 from shelfwise.session import fresh_path, materialize
+from shelfwise.sources.tables import replace_files
 from shelfwise.streaming import feeds
 
 
@@ -68,20 +69,17 @@ _BATCH = T.StructType(
     "metric_days",
 )
 def stream_replay_batches(spark, sf):
-    """One micro-batch per five-day file, each compared with the static reference."""
-    path = fresh_path(spark, "batches")
-    rows = days(spark, sf)
-    rows.repartition("bucket").write.partitionBy("bucket").parquet(path)
-    reference = materialize(rows.where(F.col("days_after_publish") <= monitor.REFERENCE_LAST_DAY), "reference")
-    stream = feeds.read_stream(spark, path, rows.schema, per_trigger=1)
+    """One micro-batch per five days, each compared with the static reference."""
+    batches = replace_files(days(spark, sf), fresh_path(spark, "batches"), ("bucket",))
+    reference = batches.where(F.col("days_after_publish") <= monitor.REFERENCE_LAST_DAY)
 
     def compare(static, batch):
-        arrived = [row.bucket for row in batch.select("bucket").distinct().collect()]
-        found = drift.numeric_drift(static, batch, NUMERIC, "bucket", arrived)
+        due = [row.bucket for row in batch.select("bucket").distinct().collect()]
+        found = drift.numeric_drift(static, batch, NUMERIC, "bucket", due)
         return found.select("bucket", "column_name", "ks_distance", F.col("cur_rows").alias("n_rows"))
 
     schema = T.StructType([T.StructField("bucket", T.LongType()), *_BATCH.fields])
-    done = feeds.compare_with_reference(stream, reference, compare, "replayed", schema)
+    done = feeds.replay_buckets(batches, reference, compare, "replayed", schema)
     return done.select("bucket", "column_name", r6("ks_distance").alias("ks_distance"), "n_rows")
 
 

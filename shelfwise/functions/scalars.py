@@ -73,6 +73,11 @@ def date_text(c: Column | str) -> Column:
     return F.date_format(_col(c), "yyyy-MM-dd")
 
 
+def iso_text(c: Column | str) -> Column:
+    """Timestamp as ISO text in UTC, ``2025-01-01T00:00:00Z``."""
+    return F.date_format(_col(c), "yyyy-MM-dd'T'HH:mm:ssXXX")
+
+
 def release_year(c: Column | str) -> Column:
     """Year of the parsed date, else the first four-digit 19xx/20xx in the text."""
     found = F.regexp_extract(_col(c), r"((?:19|20)\d{2})", 1)

@@ -257,11 +257,15 @@ def value_range(reference: DataFrame, current: DataFrame, column: str, *by: str)
     )
 
 
-def missing_share(df: DataFrame, columns: list[str], *by: str) -> DataFrame:
-    """Missing cells / all cells of the given columns, measured on raw input."""
+def missing_cells(columns: list[str]) -> Column:
+    """Aggregate: missing cells / all cells of the given columns."""
     missing = sum((F.count(F.lit(1)) - F.count(c) for c in columns), F.lit(0))
-    cells = F.count(F.lit(1)) * len(columns)
-    return df.groupBy(*by).agg(F.try_divide(missing.cast("double"), cells).alias("share_missing_values"))
+    return F.try_divide(missing.cast("double"), F.count(F.lit(1)) * len(columns))
+
+
+def missing_share(df: DataFrame, columns: list[str], *by: str) -> DataFrame:
+    """Share of missing cells, to be measured on raw input."""
+    return df.groupBy(*by).agg(missing_cells(columns).alias("share_missing_values"))
 
 
 def correlations(df: DataFrame, column: str, others: list[str], *by: str) -> DataFrame:
@@ -295,7 +299,6 @@ def batch_metrics(
     """
     batches = bucket_list(current, bucket)
     current = current.where(F.col(bucket).isin(batches))
-    raw = current if raw is None else raw.where(F.col(bucket).isin(batches))
     tested = columns + ([prediction] if prediction not in columns else [])
     drift = materialize(numeric_drift(reference, current, tested, bucket, batches), "drift")
     features = drift.where(F.col("column_name") != prediction) if prediction not in columns else drift
@@ -308,11 +311,13 @@ def batch_metrics(
         F.count("*").alias("n_rows"),
         (F.max(ranged) - F.min(ranged)).cast("double").alias("positive_percent_range"),
         mean_abs_corr(columns).alias("mean_abs_corr"),
+        *([missing_cells(columns).alias("share_missing_values")] if raw is None else []),
     )
     median = exact_quantile(current, [bucket], price, name="median_current_price")
-    lost = missing_share(raw, columns, bucket)
     whole = dataset_drift(features).withColumnRenamed("bucket", bucket)
-    parts = [scored, whole, median, lost]
+    parts = [scored, whole, median]
+    if raw is not None:
+        parts.append(missing_share(raw.where(F.col(bucket).isin(batches)), columns, bucket))
     out = plain
     for part in parts:
         out = out.join(part, bucket, "left")

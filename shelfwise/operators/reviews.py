@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -48,7 +50,7 @@ def aggregate_reviews(
     text: str = "review",
     order: str = "timestamp_created",
     span: Column | None = None,
-    size: Column | None = None,
+    prepare: Callable[[Column], Column] | None = None,
     part_bytes: int | None = PART_BYTES,
     name: str = "all_reviews",
 ) -> DataFrame:
@@ -59,22 +61,25 @@ def aggregate_reviews(
     part 0. One whose text passes ``part_bytes`` continues in parts 1, 2, …: joined
     by a space in part order they are the whole text, and no task ever holds more
     than one part plus one ``span`` of the order column (an hour by default).
-    ``size`` is an upper bound of a text's bytes, where one is cheaper than the text
-    itself; ``part_bytes=None`` skips the check where texts are known to be short.
+    ``part_bytes=None`` skips the size check where texts are known to be short.
+
+    ``prepare`` must not lengthen a text. It runs after the one shuffle, so costly
+    cleaning is spread evenly however few files the reviews came in.
     """
     part = F.lit(0).cast("bigint")
     if part_bytes is not None:
-        bytes_ = F.octet_length(text) if size is None else size
         reviews = reviews.withColumns(
             {
                 "_span": F.floor(F.col(order) / F.lit(3600)).cast("bigint") if span is None else span,
-                "_size": F.coalesce(bytes_.cast("bigint") + 1, F.lit(0).cast("bigint")),
+                "_size": F.coalesce(F.octet_length(text).cast("bigint") + 1, F.lit(0).cast("bigint")),
             }
         )
         cuts = long_text_parts(reviews, key, "_size", "_span", part_bytes)
         if cuts is not None:
             reviews = reviews.join(materialize(cuts, "parts"), [key, "_span"], "left")
             part = F.coalesce("review_part", part)
+    placed = reviews.select(key, part.alias("review_part"), order, text).repartition(key, "review_part")
+    if prepare is not None:
+        placed = placed.withColumn(text, prepare(F.col(text)))
     joined = F.expr(f"string_agg(`{text}`, ' ') WITHIN GROUP (ORDER BY `{order}`, `{text}`)")
-    kept = reviews.select(key, part.alias("review_part"), order, text)
-    return kept.groupBy(key, "review_part").agg(joined.alias(name))
+    return placed.groupBy(key, "review_part").agg(joined.alias(name))

@@ -2,8 +2,8 @@
 
 A document is a listing; its text may be spread over many review rows, so the
 counts are combined per (listing, term) before the shuffle and no listing's text
-is ever put together. Only terms of the fitted vocabulary (at most
-``max_features``, 1000 by default) are shuffled per document.
+is ever put together. Everything after the counts works on the fitted vocabulary
+(at most ``max_features`` terms, 1000 by default).
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from shelfwise.functions.text import words
 from shelfwise.session import materialize
 
 MAX_FEATURES = 1000
+CHUNK = 512  # documents multiplied at a time within a task
 
 
 def tokens(texts: DataFrame, text: str, *keep: str) -> DataFrame:
@@ -45,32 +46,30 @@ def document_copies(frame: DataFrame, key: str) -> DataFrame:
     return frame.groupBy(key).agg(F.count("*").alias("copies"))
 
 
-def count_terms(docs: DataFrame, key: str, text: str, terms: DataFrame) -> DataFrame:
-    """Rows (key, copies, term, idx, n) of the vocabulary terms per document.
-
-    ``terms`` holds at most ``max_features`` rows, so it is always broadcast and
-    other words never reach the shuffle.
-    """
-    found = tokens(docs, text, key, "copies").join(F.broadcast(terms.select("term", "idx")), "term")
-    return found.groupBy(key, "copies", "term", "idx").agg(F.count("*").alias("n"))
+def count_terms(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Rows (key, copies, term, n): occurrences per document."""
+    return tokens(docs, text, key, "copies").groupBy(key, "copies", "term").agg(F.count("*").alias("n"))
 
 
 def fit_vocabulary(
     texts: DataFrame, key: str, text: str, copies: DataFrame, max_features: int = MAX_FEATURES
 ) -> tuple[DataFrame, DataFrame]:
-    """(terms, counts): terms (term, idx, tf, df, idf) and counts as ``count_terms``.
+    """(terms, counts): terms (term, idx, tf, df, idf) and the counts
+    (key, copies, term, idx, n) of those terms.
 
-    ``copies`` lists every document, also those without any text.
+    ``copies`` lists every document, also those without any text. Splitting texts
+    into words is the costly step, so it is done once and its counts are written;
+    the chosen terms are few and always broadcast to them.
     """
     copies = materialize(copies, "copies")
-    docs = texts.select(key, text).join(copies, key)
-    total = tokens(docs, text, "copies").groupBy("term").agg(F.sum("copies").alias("tf"))
-    terms = materialize(top_terms(total, max_features), "terms")
-    counts = materialize(count_terms(docs, key, text, terms), "term-counts")
+    counts = materialize(count_terms(texts.select(key, text).join(copies, key), key, text), "term-counts")
     n_docs = copies.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
-    df = counts.groupBy("term").agg(F.sum("copies").alias("df"))
+    per_term = counts.groupBy("term").agg(
+        F.sum(F.col("n") * F.col("copies")).alias("tf"), F.sum("copies").alias("df")
+    )
     idf = F.ln(F.lit(1.0 + n_docs) / (1 + F.col("df"))) + 1
-    return terms.join(F.broadcast(df), "term").withColumn("idf", idf), counts
+    terms = materialize(top_terms(per_term, max_features).withColumn("idf", idf), "terms")
+    return terms, counts.join(F.broadcast(terms.select("term", "idx")), "term")
 
 
 def weigh(counts: DataFrame, terms: DataFrame, key: str) -> DataFrame:
@@ -100,9 +99,7 @@ def _pulled(vectors: DataFrame, block: np.ndarray) -> np.ndarray:
 
     def partial(batches):
         total = np.zeros((width, sides))
-        for batch in batches:
-            if not len(batch):
-                continue
+        for batch in (b.iloc[i : i + CHUNK] for b in batches for i in range(0, len(b), CHUNK)):
             sizes = batch["idx"].map(len).to_numpy()
             idx, w = np.concatenate(batch["idx"].to_numpy()), np.concatenate(batch["weight"].to_numpy())
             starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])

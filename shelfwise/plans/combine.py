@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.scalars import days_since, parse_owners, parse_release_date
@@ -12,18 +12,19 @@ from shelfwise.operators.reviews import PART_BYTES, aggregate_reviews
 from shelfwise.schemas import COMBINED
 
 
-def cleaned_reviews(reviews: DataFrame) -> DataFrame:
-    """Reviews with clean text (null where none is left) and their raw size.
+def cleaned_text(review: Column) -> Column:
+    """Clean text, null where none is left.
 
-    Cleaning a joined text equals joining the cleaned texts, so it is done here,
-    before the shuffle, on single reviews.
+    Cleaning a joined text equals joining the cleaned texts that are not empty, so
+    single reviews are cleaned, in parallel.
     """
-    return reviews.select(
-        "game_id",
-        "timestamp_created",
-        F.octet_length("review").alias("raw_bytes"),
-        F.nullif(clean_review("review"), F.lit("")).alias("review"),
-    )
+    return F.nullif(clean_review(review), F.lit(""))
+
+
+def cleaned_reviews(reviews: DataFrame) -> DataFrame:
+    """(game_id, review) of the reviews that have text left after cleaning."""
+    clean = reviews.select("game_id", cleaned_text(F.col("review")).alias("review"))
+    return clean.where(F.col("review").isNotNull())
 
 
 def combine_rows(listings: DataFrame, owners: DataFrame, as_of: str, keep_free: bool = False) -> DataFrame:
@@ -58,9 +59,7 @@ def combine(
     per combined listing.
     """
     rows = combine_rows(listings, owners, as_of, keep_free)
-    texts = aggregate_reviews(
-        cleaned_reviews(reviews), size=F.col("raw_bytes"), part_bytes=part_bytes, name="review"
-    )
+    texts = aggregate_reviews(reviews, prepare=cleaned_text, part_bytes=part_bytes, name="review")
     return rows.join(texts, "game_id", "left").select(
         *[c for c in COMBINED.names if c != "review"],
         F.coalesce("review", F.lit("")).alias("review"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise import schemas
-from shelfwise.functions.scalars import safe_double
+from shelfwise.functions.scalars import iso_text, safe_double
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, escape: str = '"') -> DataFrame:
@@ -113,8 +113,7 @@ def append_metrics(df: DataFrame, path: str) -> DataFrame:
 
 def metric_documents(df: DataFrame, timestamp: str = "timestamp") -> DataFrame:
     """One flat JSON document per metric row, ISO timestamp, as column ``document``."""
-    iso = F.date_format(timestamp, "yyyy-MM-dd'T'HH:mm:ssXXX")
-    fields = [iso.alias(c) if c == timestamp else F.col(c) for c in df.columns]
+    fields = [iso_text(c).alias(c) if c == timestamp else F.col(c) for c in df.columns]
     return df.select(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("document"))
 
 

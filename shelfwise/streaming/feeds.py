@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfwise.operators.drift import contiguous_buckets
 from shelfwise.session import fresh_path
 
 
@@ -99,3 +100,26 @@ def compare_with_reference(
     """Static reference against each arriving batch; the reference is read once per
     batch from files, never recomputed."""
     return run_batches(stream, lambda batch, _: compare(reference, batch), label, schema)
+
+
+def replay_buckets(
+    batches: DataFrame, reference: DataFrame, compare: Callable[[DataFrame, DataFrame], DataFrame], label: str,
+    schema: T.StructType, bucket: str = "bucket",
+) -> DataFrame:
+    """Replay dated batches one at a time against a static reference, from bucket 0 up
+    to the first missing one; a restart goes on with the next batch.
+
+    The stream carries one small marker file per bucket. The rows of a batch are read
+    from ``batches``, best a table partitioned by the bucket, with all its tasks.
+    """
+    spark = batches.sparkSession
+    path = fresh_path(spark, f"{label}-markers")
+    markers = contiguous_buckets(batches, bucket).select(bucket, F.col(bucket).alias("due"))
+    markers.write.partitionBy(bucket).parquet(path)
+    stream = read_stream(spark, path, markers.schema, per_trigger=1)
+
+    def handle(marker: DataFrame, _: int) -> DataFrame:
+        due = [row.due for row in marker.select("due").collect()]
+        return compare(reference, batches.where(F.col(bucket).isin(due)))
+
+    return run_batches(stream, handle, label, schema)
