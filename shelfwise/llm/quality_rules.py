@@ -12,6 +12,7 @@ from shelfwise.llm.support import SPACES, WORD, Scratch
 SAMPLE = 20000  # labelled rows that rules are learned from at most
 CUTS = 48  # thresholds tried per measure
 PRECISION = 0.9  # of a rule on the rows kept for pruning, at least
+FEW = 16  # repeated windows of a text that are looked up in a list
 SUPPORT = 5  # rows a rule must cover there
 
 Condition = tuple[str, str, float]
@@ -35,7 +36,9 @@ def text_statistics(docs: DataFrame, text: str = "text", keep: Sequence[str] = (
     equal to an earlier line), n_repeat_words (words in 3-word windows found twice
     or more, the first included). Built-in functions on one row at a time: no
     shuffle, memory as large as the longest text. Repeated windows are found by
-    sorting (hash of three words, position), n log n in the words of a text.
+    sorting hashes of three words; where they are few, each position is looked up
+    in their list, else (hash, position) pairs are sorted. Both give the same, in
+    n log n steps for n words.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     words = F.array_remove(F.split(body, r"[\x20\x09-\x0D]+"), "")
@@ -49,21 +52,26 @@ def text_statistics(docs: DataFrame, text: str = "text", keep: Sequence[str] = (
         F.regexp_count(body, F.lit(r"[A-Z]")).alias("n_capitals"),
     )
     w = F.col("_words")
-    triples = F.when(
-        F.size(w) >= 3,
-        F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.struct(F.xxhash64(w[i], w[i + 1], w[i + 2]).alias("h"), i.alias("i"))),
-    )
-    sorted_ = counted.withColumn("_sorted", F.array_sort(triples))
-    s = F.col("_sorted")
-
-    def twin(x: Column, k: Column) -> Column:
-        return (F.get(s, k - 1)["h"] == x["h"]) | (F.get(s, k + 1)["h"] == x["h"])
-
-    twins = F.filter(s, lambda x, k: F.coalesce(F.get(s, k - 1)["h"] == x["h"], F.lit(False)) | F.coalesce(F.get(s, k + 1)["h"] == x["h"], F.lit(False)))
-    found = sorted_.withColumn("_at", F.array_sort(F.transform(twins, lambda x: x["i"])))
+    triples = F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.xxhash64(w[i], w[i + 1], w[i + 2]))
+    hashed = counted.withColumn("_h", F.when(F.size(w) >= 3, triples))
+    hashed = hashed.withColumn("_s", F.when(F.size(F.array_distinct("_h")) < F.size("_h"), F.sort_array("_h")))
+    h, s = F.col("_h"), F.col("_s")
+    found = hashed.withColumn("_d", F.array_distinct(F.filter(s, lambda x, k: F.coalesce(x == F.get(s, k + 1), F.lit(False)))))
+    places = F.sequence(F.lit(0), F.size(h) - 1)
+    few = F.filter(places, lambda i: F.array_contains("_d", F.get(h, i)))
+    pairs = F.array_sort(F.transform(places, lambda i: F.struct(F.get(h, i).alias("h"), i.alias("i"))))
+    found = found.withColumn("_p", F.when(F.size("_d") > FEW, pairs))
+    p = F.col("_p")
+
+    def same(x: Column, k: Column) -> Column:
+        return F.coalesce(F.get(p, k)["h"] == x["h"], F.lit(False))
+
+    many = F.array_sort(F.transform(F.filter(p, lambda x, k: same(x, k - 1) | same(x, k + 1)), lambda x: x["i"]))
+    found = found.withColumn("_at", F.when(F.size("_d") > FEW, many).when(F.size("_d") > 0, few))
     at = F.col("_at")
-    gaps = F.zip_with(F.slice(at, 2, F.greatest(F.size(at) - 1, F.lit(0))), F.slice(at, 1, F.greatest(F.size(at) - 1, F.lit(0))), lambda b, a: F.least(b - a, F.lit(3)))
-    covered = F.when(F.size(at) > 0, F.aggregate(gaps, F.lit(3), lambda total, gap: total + gap)).otherwise(0)
+    later, earlier = F.slice(at, 2, F.size(at) - 1), F.slice(at, 1, F.size(at) - 1)
+    gaps = F.zip_with(later, earlier, lambda b, a: F.least(b - a, F.lit(3)))
+    covered = F.when(F.size(at) > 0, F.aggregate(gaps, F.lit(3), lambda total, gap: total + gap))
     return found.select(
         *keep,
         F.size("_words").cast("long").alias("n_words"),
