@@ -73,3 +73,29 @@ def mixing(spark, sf):
     from shelfwise.llm.mixing import mix_sources
 
     return mix_sources(table(spark, sf, "documents")).select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
+SHINGLE_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM c JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * c >= 75 * (p.n + q.n - c)),
+reach AS (
+  SELECT doc_id AS d, doc_id AS r FROM documents
+  UNION SELECT d, y FROM reach JOIN links ON r = x),
+least AS (SELECT d, min(r) AS component_id FROM reach GROUP BY d)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, w.doc_id = component_id AS kept
+FROM w JOIN least ON d = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id
+"""
+
+
+@query("op9_minhash", SHINGLE_SQL)
+def minhash(spark, sf):
+    from shelfwise.llm.minhash_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf, "documents")).drop("first")

@@ -83,10 +83,9 @@ def powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     have = _powers.get(which)
     if have is None or len(have[0]) < n:
         size, base = 1 << max(10, (n - 1).bit_length()), _BASES[which]
-        have = tuple(
-            np.cumprod(np.concatenate([[1], np.full(size - 1, b, np.uint64)]).astype(np.uint64))
-            for b in (base, pow(base, -1, 1 << 64))
-        )
+        steps = np.full((2, size), 1, np.uint64)
+        steps[0, 1:], steps[1, 1:] = base, pow(base, -1, 1 << 64)
+        have = (np.cumprod(steps[0]), np.cumprod(steps[1]))
         if size <= 1 << 23:  # a single giant text does not stay in memory
             _powers[which] = have
     return have[0][:n], have[1][:n]
