@@ -99,3 +99,26 @@ def minhash(spark, sf):
     from shelfwise.llm.minhash_dedup import near_duplicates
 
     return near_duplicates(table(spark, sf, "documents")).drop("first")
+
+
+REPEAT_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, unnest(range(1, len(w) - 33)) AS i, unnest(list_transform(range(1, len(w) - 33), lambda i: md5(array_to_string(w[i:i + 34], ' ')))) AS h
+  FROM w WHERE len(w) >= 35),
+r AS (SELECT doc_id, i FROM s JOIN (SELECT h FROM s GROUP BY h HAVING count(*) > 1) USING (h)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM r),
+n AS (SELECT doc_id, count(*) AS n, list(i) AS gone FROM gone GROUP BY doc_id),
+left_over AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM w) ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT w.doc_id, len(w)::BIGINT AS n_words, coalesce(n.n, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN left_over USING (doc_id)
+"""
+
+
+@query("op3_substring_dedup", REPEAT_SQL)
+def substring_dedup(spark, sf):
+    from shelfwise.llm.substring_dedup import remove_repeats
+
+    return remove_repeats(table(spark, sf, "documents"))

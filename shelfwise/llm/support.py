@@ -37,6 +37,16 @@ class Scratch:
         self.paths[name] = path
         return out
 
+    def keep_bucketed(self, df: DataFrame, name: str, keys: list[str]) -> DataFrame:
+        """Like ``keep``, in as many hash buckets of ``keys`` as a shuffle has partitions:
+        joins on the keys then move the other side only, as often as they are done."""
+        path, buckets = fresh_path(self.spark, f"{self.label}-{name}"), int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        table = "kept_" + path.rsplit("-", 1)[-1]
+        laid = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+        laid.option("path", path).format("parquet").saveAsTable(table)
+        self.paths[name] = path
+        return self.spark.table(table)
+
     def drop(self, *names: str) -> None:
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
@@ -91,7 +101,7 @@ def powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return have[0][:n], have[1][:n]
 
 
-def _prefix(values: np.ndarray, which: int) -> tuple[np.ndarray, np.ndarray]:
+def prefix(values: np.ndarray, which: int) -> tuple[np.ndarray, np.ndarray]:
     up, down = powers(which, len(values) + 1)
     total = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * up[:-1], out=total[1:])
@@ -123,7 +133,7 @@ class Words:
         self.doc = np.repeat(np.arange(len(offsets) - 1), self.counts)
         if lower:
             data = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
-        total, down = _prefix(_BYTE[data], 0)
+        total, down = prefix(_BYTE[data], 0)
         self.hash = mix((total[self.end] - total[self.start]) * down[self.start] + (self.end - self.start).astype(np.uint64))
 
     def windows(self, size: int, which: int = 1) -> np.ndarray:
@@ -131,7 +141,7 @@ class Words:
         n = len(self.hash) - size + 1
         if n <= 0:
             return np.zeros(0, np.uint64)
-        total, down = _prefix(self.hash, which)
+        total, down = prefix(self.hash, which)
         return mix((total[size:] - total[:-size]) * down[:n] + np.uint64(size))
 
     def fits(self, size: int) -> np.ndarray:
