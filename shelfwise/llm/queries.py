@@ -122,3 +122,27 @@ def substring_dedup(spark, sf):
     from shelfwise.llm.substring_dedup import remove_repeats
 
     return remove_repeats(table(spark, sf, "documents"))
+
+
+VECTOR_SQL = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+reach AS (
+  SELECT vec_id AS d, vec_id AS r FROM embeddings
+  UNION SELECT d, y FROM reach JOIN links ON r = x),
+least AS (SELECT d, min(r) AS component_id FROM reach GROUP BY d),
+n AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN least ON d = vec_id LEFT JOIN n ON x = vec_id
+"""
+
+
+@query("op1_embedding_dedup", VECTOR_SQL)
+def embedding_dedup(spark, sf):
+    from shelfwise.llm.embedding_dedup import similar_vectors
+
+    return similar_vectors(table(spark, sf, "embeddings"))
