@@ -146,3 +146,14 @@ def embedding_dedup(spark, sf):
     from shelfwise.llm.embedding_dedup import similar_vectors
 
     return similar_vectors(table(spark, sf, "embeddings"))
+
+
+TOKENIZERS = "/opt/tokenizers"  # holds the public rank files
+RANKS = "byte_bpe_multi_50k.tiktoken"
+
+
+@query("op6_byte_bpe")
+def byte_bpe(spark, sf):
+    from shelfwise.llm.bpe import encode_texts
+
+    return encode_texts(table(spark, sf, "documents"), f"{TOKENIZERS}/{RANKS}")
