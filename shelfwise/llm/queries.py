@@ -157,3 +157,10 @@ def byte_bpe(spark, sf):
     from shelfwise.llm.bpe import encode_texts
 
     return encode_texts(table(spark, sf, "documents"), f"{TOKENIZERS}/{RANKS}")
+
+
+@query("op2_language_id")
+def language_id(spark, sf):
+    from shelfwise.llm.language_id import identify
+
+    return identify(table(spark, sf, "documents"))
