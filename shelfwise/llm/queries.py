@@ -164,3 +164,10 @@ def language_id(spark, sf):
     from shelfwise.llm.language_id import identify
 
     return identify(table(spark, sf, "documents"))
+
+
+@query("op5_toxicity")
+def toxicity(spark, sf):
+    from shelfwise.llm.toxicity import score_toxicity
+
+    return score_toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))

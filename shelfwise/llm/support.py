@@ -112,12 +112,13 @@ class Words:
     """Words of consecutive texts, as positions and 64-bit hashes.
 
     ``doc[i]`` is the text of word i, ``first`` the first word of each text
-    (one entry more than texts), ``start``/``end`` its bytes in ``data``.
+    (one entry more than texts), ``start``/``end`` its bytes in ``data``. ``apart``
+    says of each byte whether it separates words.
     """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False, apart: np.ndarray = _IS_SPACE):
         self.data, self.offsets = data, offsets
-        word = ~_IS_SPACE[data]
+        word = ~apart[data]
         before = np.empty(len(data), bool)
         after = np.empty(len(data), bool)
         if len(data):
