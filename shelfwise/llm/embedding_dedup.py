@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.components import components
-from shelfwise.llm.support import Scratch
+from shelfwise.llm.support import Scratch, least_reached, runs_of
 
 THRESHOLD = 0.93
 GRID = 3  # leading components that tiles are cut by
@@ -86,24 +86,11 @@ def close_pairs(x: np.ndarray, y: np.ndarray, threshold: float) -> tuple[np.ndar
     return i, j
 
 
-def _least(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    """For each of n things the least one that the links (a, b) reach."""
-    label = np.arange(n)
-    while True:
-        before = label.copy()
-        np.minimum.at(label, a, before[b])
-        np.minimum.at(label, b, before[a])
-        label = label[label]
-        if (label == before).all():
-            return label
-
-
 def _compared(threshold: float):
     """Rows of one comparison after the other (task, side, node, copies, vec, unit) to
     (node, links, other): links counts other vectors linked, ``other`` is one that links reach."""
 
-    def found(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        t = pa.Table.from_batches(held).combine_chunks()
+    def found(t: pa.Table) -> pa.RecordBatch:
         side, node, copies = (t.column(c).to_numpy() for c in ("side", "node", "copies"))
         width = len(t.column("unit")[0].as_py()) // 8
         unit = np.frombuffer(b"".join(t.column("unit").to_pylist()), float).reshape(-1, width)
@@ -120,7 +107,7 @@ def _compared(threshold: float):
         sure = exact(t.column("vec"), a, b)
         a, b = a[sure], b[sure]
         links = np.bincount(a, copies[b], len(node)) + np.bincount(b, copies[a], len(node))
-        some, least = np.flatnonzero(links), _least(a, b, len(node))
+        some, least = np.flatnonzero(links), least_reached(a, b, len(node))
         return pa.RecordBatch.from_arrays(
             [pa.array(node[some]), pa.array(links[some].astype(np.int64)), pa.array(node[least[some]])], names=["node", "links", "other"]
         )
@@ -139,20 +126,7 @@ def _compared(threshold: float):
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        current = None
-        for batch in batches:
-            task = batch.column(0).to_numpy(zero_copy_only=False)
-            edges = np.flatnonzero(task[1:] != task[:-1]) + 1
-            for low, high in zip([0, *edges], [*edges, batch.num_rows]):
-                if high == low:
-                    continue
-                if task[low] != current and held:
-                    yield found(held)
-                    held = []
-                current = task[low]
-                held.append(batch.slice(low, high - low))
-        if held:
+        for held in runs_of(batches):
             yield found(held)
 
     return run

@@ -187,3 +187,34 @@ def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     ends = np.cumsum(lengths)
     return np.arange(ends[-1]) + np.repeat(starts - (ends - lengths), lengths)
+
+
+def least_reached(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """For each of n things the least one that the links (a, b) reach."""
+    label = np.arange(n)
+    while True:
+        before = label.copy()
+        np.minimum.at(label, a, before[b])
+        np.minimum.at(label, b, before[a])
+        label = label[label]
+        if (label == before).all():
+            return label
+
+
+def runs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows that are sorted by their first column, as one table for each of its values."""
+    held: list[pa.RecordBatch] = []
+    current = None
+    for batch in batches:
+        value = batch.column(0).to_numpy(zero_copy_only=False)
+        edges = np.flatnonzero(value[1:] != value[:-1]) + 1
+        for low, high in zip([0, *edges], [*edges, batch.num_rows]):
+            if high == low:
+                continue
+            if held and value[low] != current:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+            current = value[low]
+            held.append(batch.slice(low, high - low))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
