@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfwise.llm.license_scan import TEMPLATES
 from shelfwise.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
 
@@ -171,3 +172,28 @@ def toxicity(spark, sf):
     from shelfwise.llm.toxicity import score_toxicity
 
     return score_toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+LICENSE_TEXTS = ", ".join("({}, '{}', '{}')".format(i, name, text.replace("'", "''")) for i, (name, text) in enumerate(TEMPLATES))
+LICENSE_SQL = rf"""
+WITH t(k, license, text) AS (VALUES {LICENSE_TEXTS}),
+tw AS (SELECT k, license, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM t),
+ts AS (SELECT DISTINCT k, license, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM tw),
+tn AS (SELECT k, count(*) AS n, (2 ** ceil(log2(count(*))))::BIGINT AS c FROM ts GROUP BY k),
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-/:-@\[-`{{-\x7F]+') AS w FROM documents),
+s AS (SELECT doc_id, unnest(range(0, len(w) - 4)) AS p, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM d),
+m AS (SELECT doc_id, k, license, p, s.s AS s, n, c FROM s JOIN ts ON s.s = ts.s JOIN tn USING (k)),
+win AS (SELECT *, unnest(CASE WHEN p // c > 0 THEN [p // c - 1, p // c] ELSE [p // c] END) AS win FROM m),
+hit AS (SELECT doc_id, k, license, win, count(DISTINCT s) / any_value(n)::DOUBLE AS containment, min(p) AS first_word FROM win
+  GROUP BY doc_id, k, license, win HAVING 100 * count(DISTINCT s) >= 75 * any_value(n))
+SELECT doc_id, license, containment, first_word FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, license ORDER BY containment DESC, first_word) AS nth FROM hit) WHERE nth = 1
+"""
+
+
+@query("op8_license_scan", LICENSE_SQL)
+def license_scan(spark, sf):
+    from shelfwise.llm.license_scan import scan
+
+    return scan(table(spark, sf, "documents"))
