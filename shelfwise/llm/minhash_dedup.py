@@ -10,14 +10,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.components import components
-from shelfwise.llm.support import Scratch, Words, mix, pieces, row_key
+from shelfwise.llm.support import Scratch, Words, least_reached, mix, pieces, row_key, runs_of, spans
 
 SHINGLE = 5
 PERCENT = 75  # similarity of a link, at least
 ROWS, BANDS = 4, 40  # a pair at 0.75 misses all bands with probability 2.5e-7
 BASE, RATE, LIMIT = 1.001, 20.0, 2**16 - 2  # of the registers
-DOUBT = 20.0  # log-likelihood by which the estimate must beat 0.75 to rule a pair out
-BLOCK = 512  # documents on either side of one comparison step
+DOUBT = 12.0  # log-likelihood by which the estimate must beat 0.75 to rule a pair out
+BLOCK = 512  # sketches on either side of one comparison step
+SET_BLOCK = 256  # full sets on either side of one comparison step
 
 _random = np.random.default_rng(9)
 _XOR = _random.integers(0, 2**63, ROWS * BANDS, dtype=np.uint64)
@@ -68,16 +69,20 @@ def band_values(sketch: np.ndarray) -> np.ndarray:
     return value.view(np.int64)
 
 
-def likely(n_a: np.ndarray, n_b: np.ndarray, over: np.ndarray, under: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Whether similarity ``percent`` can't be ruled out.
+def estimate(n_a: np.ndarray, n_b: np.ndarray, over: np.ndarray, under: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(similarity, whether ``PERCENT`` can't be ruled out) of pairs of sets.
 
     ``over``/``under`` count registers where a is larger/smaller. Given both set
     sizes, the joint likelihood of (over, under, equal) depends on the similarity
-    alone; a pair is ruled out if its maximum beats the value at ``percent`` (or
-    above, whichever is better) by more than ``DOUBT``, or if the sizes alone do.
+    alone. Its maximum solves a quadratic equation (exact for a base near 1). A
+    pair is ruled out if that maximum beats the likelihood at ``PERCENT`` by more
+    than ``DOUBT``, about five standard deviations, or if the sizes alone do.
     """
     u, v = n_a / (n_a + n_b), n_b / (n_a + n_b)
-    t, top = percent / 100.0, np.minimum(u / v, v / u)
+    m, t, top = len(_MUL), PERCENT / 100.0, np.minimum(u / v, v / u)
+    equal = m - over - under
+    half = (equal * (u * u + v * v) + over * v * v + under * u * u) / (2 * m * u * v)
+    best = np.clip(half - np.sqrt(np.maximum(half * half - equal / m, 0)), 0, top)
 
     def p(x: np.ndarray) -> np.ndarray:
         return -np.log1p(-np.clip(x, 0, 1) * (BASE - 1) / BASE) / np.log(BASE)
@@ -85,19 +90,10 @@ def likely(n_a: np.ndarray, n_b: np.ndarray, over: np.ndarray, under: np.ndarray
     def fit(j: np.ndarray) -> np.ndarray:
         up, down = p(u - v * j), p(v - u * j)
         tiny = 1e-12
-        equal = len(_MUL) - over - under
         return over * np.log(np.maximum(up, tiny)) + under * np.log(np.maximum(down, tiny)) + equal * np.log(np.maximum(1 - up - down, tiny))
 
-    grid = np.linspace(0, 1, 101)
-    best = np.full(len(u), -np.inf)
-    best_high = np.full(len(u), -np.inf)
-    for g in grid:
-        value = fit(np.minimum(g, top))
-        best = np.maximum(best, value)
-        if g >= t:
-            best_high = np.maximum(best_high, value)
-    possible = np.minimum(n_a, n_b) * 100 >= np.maximum(n_a, n_b) * percent
-    return possible & (best - best_high <= DOUBT)
+    possible = np.minimum(n_a, n_b) * 100 >= np.maximum(n_a, n_b) * PERCENT
+    return best, possible & ((best >= t) | (fit(best) - fit(np.minimum(t, top)) <= DOUBT))
 
 
 _PROFILE = "n_shingles long, set_a long, set_b long, sketch binary, bands array<long>"
@@ -143,7 +139,7 @@ def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(low, 2048)
             a, b = (_matrix(part.column(i), len(_MUL), np.uint16) for i in (4, 5))
             n_a, n_b = (part.column(i).to_numpy().astype(float) for i in (2, 3))
-            ok = likely(n_a, n_b, (a > b).sum(1), (a < b).sum(1))
+            _, ok = estimate(n_a, n_b, (a > b).sum(1), (a < b).sum(1))
             yield part.select([0, 1]).filter(pa.array(ok))
 
 
@@ -169,40 +165,59 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select([0, 1]).filter(pa.array(ok))
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of one block after the other (block, side, node, comp, n_shingles, sketch) to possible pairs
-    of a stray (side 0) and any other member (side 1) in another component."""
-    held: list[pa.RecordBatch] = []
-    current = None
+def _reached(node: np.ndarray, a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
+    """Pairs of one block as few edges: each node that has any, with the least it reaches."""
+    none = np.zeros(0, np.int64)
+    x, y = np.concatenate([none, *a]), np.concatenate([none, *b])
+    least = least_reached(x, y, len(node))
+    some = np.flatnonzero(least != np.arange(len(node)))
+    return pa.RecordBatch.from_arrays([pa.array(node[some]), pa.array(node[least[some]])], names=["a", "b"])
 
-    def pairs() -> pa.RecordBatch:
-        t = pa.Table.from_batches(held).combine_chunks()
+
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks (block, side, node, comp, n_shingles, sketch) to edges between possible partners:
+    a stray (side 0) and any other member (side 1) of another component."""
+    for t in runs_of(batches):
         side, node, comp, n = (t.column(c).to_numpy() for c in ("side", "node", "comp", "n_shingles"))
         sketch = _matrix(t.column("sketch"), len(_MUL), np.uint16)
         stray, other = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        out_a, out_b = [], []
+        a, b = [], []
         for s in stray:
             those = other[comp[other] != comp[s]]
-            if not len(those):
-                continue
-            ok = likely(np.full(len(those), float(n[s])), n[those].astype(float), (sketch[s] > sketch[those]).sum(1), (sketch[s] < sketch[those]).sum(1))
-            out_a += [node[s]] * int(ok.sum())
-            out_b += node[those[ok]].tolist()
-        return pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
+            if len(those):
+                over, under = (sketch[s] > sketch[those]).sum(1), (sketch[s] < sketch[those]).sum(1)
+                those = those[estimate(np.full(len(those), float(n[s])), n[those].astype(float), over, under)[1]]
+                a.append(np.full(len(those), s))
+                b.append(those)
+        yield _reached(node, a, b)
 
-    for batch in batches:
-        block = batch.column(0).to_numpy(zero_copy_only=False)
-        edges = np.flatnonzero(block[1:] != block[:-1]) + 1
-        for low, high in zip([0, *edges], [*edges, batch.num_rows]):
-            if high == low:
-                continue
-            if block[low] != current and held:
-                yield pairs()
-                held = []
-            current = block[low]
-            held.append(batch.slice(low, high - low))
-    if held:
-        yield pairs()
+
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks (block, side, node, comp, elements) to edges between linked ones, full sets compared.
+
+    Elements are numbered within the block; a stray's are marked in a table, and
+    the marks of each other member are counted.
+    """
+    for t in runs_of(batches):
+        side, node, comp = (t.column(c).to_numpy() for c in ("side", "node", "comp"))
+        packed = t.column("elements").to_pylist()
+        size = np.array([len(x) // 8 for x in packed])
+        every, number = np.unique(np.frombuffer(b"".join(packed), np.uint64), return_inverse=True)
+        first = np.append(0, np.cumsum(size))
+        stray, other = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        begin = np.append(0, np.cumsum(size[other]))[:-1]
+        theirs = number[spans(first[other], size[other])]
+        mark = np.zeros(len(every), bool)
+        a, b = [], []
+        for s in stray if len(other) else ():
+            own = number[first[s] : first[s + 1]]
+            mark[own] = True
+            common = np.add.reduceat(mark[theirs], begin, dtype=np.int64)
+            mark[own] = False
+            those = other[(100 * common >= PERCENT * (size[s] + size[other] - common)) & (comp[other] != comp[s])]
+            a.append(np.full(len(those), s))
+            b.append(those)
+        yield _reached(node, a, b)
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -223,6 +238,27 @@ def _verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, scratch: Scra
     return linked
 
 
+def _blocks(members: DataFrame, group: str, held: DataFrame, block: int) -> DataFrame:
+    """Blocks to compare of groups (``group``, node, comp) that consist of several components.
+
+    Each stray (member outside its group's largest component) meets each member
+    once; a block has about ``block`` of either. ``held`` is what else a node needs.
+    """
+    parts = members.groupBy(group, "comp").agg(F.count("*").alias("n"))
+    sizes = F.max_by("comp", F.struct("n", "comp")).alias("largest"), F.sum("n").alias("n"), F.max("n").alias("most"), F.count("*").alias("parts")
+    cuts = F.ceil(F.col("n") / block).cast("int").alias("others"), F.ceil((F.col("n") - F.col("most")) / block).cast("int").alias("strays")
+    open_ = parts.groupBy(group).agg(*sizes).where("parts > 1").select(group, "largest", *cuts)
+    salted = members.join(open_, group).withColumn("_salt", F.abs(F.xxhash64("node", group) % (1 << 30)).cast("int"))
+    i, j = F.col("_salt") % F.col("strays"), F.col("_salt") % F.col("others")
+    every_i, every_j = (F.explode(F.sequence(F.lit(0), F.col(c) - 1)) for c in ("strays", "others"))
+    as_stray = salted.where("comp <> largest").select(group, "node", "comp", F.lit(0).alias("side"), i.alias("i"), every_j.alias("j"))
+    as_other = salted.select(group, "node", "comp", F.lit(1).alias("side"), every_i.alias("i"), j.alias("j"))
+    laid = as_stray.union(as_other).withColumn("block", F.xxhash64(group, "i", "j"))
+    laid = laid.join(held, "node").select("block", "side", "node", "comp", *[c for c in held.columns if c != "node"])
+    tasks = int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return laid.repartition(tasks, "block").sortWithinPartitions("block")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", carry: tuple = ()) -> DataFrame:
     """One row per document: id, ``carry``, n_shingles, component_id, kept, first.
 
@@ -239,12 +275,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
        joint likelihood rule pairs out, full sets decide on the rest.
     3. Buckets whose members are not all connected by then are compared further:
        members outside the bucket's largest component, block by block, with all
-       members of other components; so no pair that shares a band is left
-       undecided unless its ends are connected anyhow.
+       members of other components. Sketches come first; those that they cannot
+       rule out form groups of alike documents. Within groups the full sets of what
+       is not connected yet are compared, again in blocks. So no pair that shares a
+       band is left undecided unless its ends are connected, and no step emits pairs:
+       a block hands on at most one edge per member.
 
-    Large buckets are pre-aggregated, then split by row; blocks hold ``BLOCK``
-    documents of either side. Texts are shuffled once, for those that have a
-    possible partner. Only counts and flags come to the driver.
+    Large buckets are pre-aggregated, then split by row; blocks have
+    a bounded number of documents on either side. Texts are shuffled once, for
+    those that share a band. Only counts and flags come to the driver.
 
     Null or empty text, or text without words: n_shingles 0, alone. Null id:
     comes last in the order of ids; a component of null ids only has a null
@@ -277,25 +316,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     star = members.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
     linked = _verified(star, nodes, sets, scratch, "star")
     roots = components(linked, scratch, "star")
-
-    placed = members.join(roots, "node", "left").select("bucket", "node", "head", F.coalesce("root", "node").alias("comp"))
-    parts = placed.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
-    open_ = (
-        parts.groupBy("bucket")
-        .agg(F.max_by("comp", F.struct("n", "comp")).alias("largest"), F.sum("n").alias("n"), F.max("n").alias("most"), F.count("*").alias("parts"))
-        .where("parts > 1 and n > 2")
-        .select("bucket", "largest", F.ceil(F.col("n") / BLOCK).cast("int").alias("others"), F.ceil((F.col("n") - F.col("most")) / BLOCK).cast("int").alias("strays"))
-    )
-    salted = placed.join(open_, "bucket").withColumn("_salt", F.abs(F.xxhash64("node", "bucket") % (1 << 30)).cast("int"))
-    one = F.lit(0)
-    as_stray = salted.where("comp <> largest").select("bucket", "node", "comp", F.lit(0).alias("side"), (F.col("_salt") % F.col("strays")).alias("i"), F.explode(F.sequence(one, F.col("others") - 1)).alias("j"))
-    as_other = salted.select("bucket", "node", "comp", F.lit(1).alias("side"), F.explode(F.sequence(one, F.col("strays") - 1)).alias("i"), (F.col("_salt") % F.col("others")).alias("j"))
-    laid = as_stray.union(as_other).withColumn("block", F.xxhash64("bucket", "i", "j")).join(nodes.select("node", "n_shingles", "sketch"), "node")
-    blocks = laid.select("block", "side", "node", "comp", "n_shingles", "sketch").repartition(F.col("block")).sortWithinPartitions("block")
-    across = blocks.mapInArrow(_across, "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = _verified(across.join(star, ["a", "b"], "left_anti"), nodes, sets, scratch, "rest")
-    scratch.drop("members", "sets")
+    comp = F.coalesce("root", "node").alias("comp")
+    placed = members.join(roots, "node", "left").select("bucket", "node", comp)
+    alike = _blocks(placed, "bucket", nodes.select("node", "n_shingles", "sketch"), BLOCK).mapInArrow(_alike, "a long, b long")
+    groups = components(alike, scratch, "alike").withColumnRenamed("root", "group")
+    placed = groups.join(roots, "node", "left").select("group", "node", comp)
+    more = _blocks(placed, "group", sets, SET_BLOCK).mapInArrow(_linked, "a long, b long")
     roots = components(linked.union(more), scratch, "all")
+    scratch.drop("members", "sets")
 
     tops = nodes.select("node", "set_a", "set_b", "n_shingles").join(roots, "node", "left")
     tops = tops.select("set_a", "set_b", "n_shingles", F.coalesce("root", "node").alias("comp"))
