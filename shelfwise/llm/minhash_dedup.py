@@ -259,9 +259,11 @@ def _blocks(members: DataFrame, group: str, held: DataFrame, block: int) -> Data
     return laid.repartition(tasks, "block").sortWithinPartitions("block")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", carry: tuple = ()) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", carry: tuple = (), keys: bool = False) -> DataFrame:
     """One row per document: id, ``carry``, n_shingles, component_id, kept, first.
 
+    With ``keys`` also k1, k2, the hash of id and text.
+
     Words are runs of anything but ASCII white space, A-Z in lower case. A
     document's set holds its distinct 5-word shingles (fewer words: the whole
     sequence). Documents link at similarity 0.75 or more; ``component_id`` is the
@@ -307,6 +309,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     nodes = scratch.keep(nodes, "nodes")
     banded = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1")
+    shared = scratch.keep(shared, "shared")
     members = scratch.keep(banded.join(shared, "bucket").select("bucket", "node", "head"), "members")
     involved = members.select("node").distinct().join(nodes.select("node", "k1", "k2"), "node")
     texts_ = docs.select(*row_key(id_col, text), F.col(text).alias("_text"))
@@ -327,15 +330,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
     tops = nodes.select("node", "set_a", "set_b", "n_shingles").join(roots, "node", "left")
     tops = tops.select("set_a", "set_b", "n_shingles", F.coalesce("root", "node").alias("comp"))
-    there = rows.select(id_col, *carry, "n_shingles", "set_a", "set_b", "_row").join(tops, ["set_a", "set_b", "n_shingles"], "left")
+    there = rows.select(id_col, *carry, "k1", "k2", "n_shingles", "set_a", "set_b", "_row").join(tops, ["set_a", "set_b", "n_shingles"], "left")
     there = there.withColumn("comp", F.coalesce("comp", "_row"))
     order = F.struct(F.col(id_col).isNull().alias("absent"), F.col(id_col).alias("id"), F.col("_row").alias("row"))
-    least = there.groupBy("comp").agg(F.min(order).alias("least"))
+    there = scratch.keep(there, "placed")
+    least = scratch.keep(there.groupBy("comp").agg(F.min(order).alias("least")), "least")
     return there.join(least, "comp").select(
         id_col,
         *carry,
+        *[c for c in ("k1", "k2") if keys],
         "n_shingles",
         F.col("least.id").alias("component_id"),
         F.coalesce(F.col(id_col) == F.col("least.id"), F.col("least.row") == F.col("_row")).alias("kept"),
         (F.col("least.row") == F.col("_row")).alias("first"),
     )
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one document of each group of near copies left: the least id's.
+
+    Decisions are found as in ``near_duplicates`` and joined back by a hash of id
+    and text, so whole rows move once. Rows with equal id and text become one before
+    that, in the task that reads them and again after the shuffle.
+    """
+    first = near_duplicates(docs.select(id_col, text), id_col, text, keys=True).where("first").select("k1", "k2")
+    rows = docs.select(*row_key(id_col, text), F.struct("*").alias("_doc")).groupBy("k1", "k2").agg(F.any_value("_doc").alias("_doc"))
+    return rows.join(Scratch(docs.sparkSession, "near").keep(first, "first"), ["k1", "k2"]).select("_doc.*")

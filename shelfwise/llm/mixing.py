@@ -65,7 +65,7 @@ def mix_sources(
 
     Both running sums (per source, over all) go through ``running_totals``:
     a source with a third of all rows is cut by range, no window spans it, and
-    every shuffle carries numbers only, no text. The words are counted once.
+    only the last join carries what ``carry`` names. The words are counted once.
 
     Null or empty text: size 0, taken 0. Null source is a source of its own.
     Null or repeated ids: such rows differ by size and then by a row number that

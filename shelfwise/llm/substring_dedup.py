@@ -200,7 +200,7 @@ def _windows(window: int):
 
 
 def _cleaned(window: int, with_text: bool):
-    """(…, text, codes, whole, starts) to (…, n_words, n_removed, kept_sha256), and kept if asked."""
+    """(…, text, codes, whole, starts) to (…, n_words, n_removed, kept_sha256), and cleaned if asked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -226,15 +226,16 @@ def _cleaned(window: int, with_text: bool):
                     left = a + np.flatnonzero(~covered[a:b])
                     kept.append(b" ".join([data[x:y].tobytes() for x, y in zip(words.start[left], words.end[left])]))
                 removed = np.add.reduceat(np.append(covered, False).astype(np.int64), np.minimum(words.first[:-1], len(covered))) * (words.counts > 0)
+                clean = [x if n else data[a:b].tobytes() for x, n, a, b in zip(kept, removed, offsets[:-1], offsets[1:])] if with_text else []
                 yield pa.RecordBatch.from_arrays(
                     [
                         *[batch.column(i).slice(low, high - low) for i in range(own)],
                         pa.array(words.counts, pa.int64()),
                         pa.array(removed, pa.int64()),
                         pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()),
-                        *([pa.array([x.decode() for x in kept], pa.string())] if with_text else []),
+                        *([pa.array([x.decode() for x in clean], pa.string())] if with_text else []),
                     ],
-                    names=[*batch.schema.names[:own], "n_words", "n_removed", "kept_sha256", *(["kept"] if with_text else [])],
+                    names=[*batch.schema.names[:own], "n_words", "n_removed", "kept_sha256", *(["cleaned"] if with_text else [])],
                 )
 
     return run
@@ -243,10 +244,14 @@ def _cleaned(window: int, with_text: bool):
 KEYS = ["k1", "k2"]
 
 
-def _repeated(rows: DataFrame, *by: str) -> DataFrame:
-    """Rows of ``rows`` whose value of ``by`` occurs more than once; counted before they are joined back."""
+def _repeated(rows: DataFrame, scratch: Scratch, name: str, *by: str) -> DataFrame:
+    """Rows of ``rows`` whose value of ``by`` occurs more than once.
+
+    The values are counted and written before they are joined back, so that both
+    sides of the join are plain shuffles, of which Spark splits a hot value.
+    """
     again = rows.groupBy(*by).agg(F.count("*").alias("_n")).where("_n > 1").drop("_n")
-    return rows.join(again, list(by))
+    return rows.join(scratch.keep(again, name), list(by))
 
 
 def _listed(rows: DataFrame, value: str, name: str) -> DataFrame:
@@ -262,11 +267,12 @@ def remove_repeats(
     carry: tuple = (),
     with_text: bool = False,
 ) -> DataFrame:
-    """One row per document: id, ``carry``, n_words, n_removed, kept_sha256, with ``with_text`` also kept.
+    """One row per document: id, ``carry``, n_words, n_removed, kept_sha256, with ``with_text`` also cleaned.
 
     A window is ``window`` consecutive words (runs of anything but ASCII white
     space) of one document. Words in a window that also starts elsewhere, same
-    document included, are removed; the rest is joined by one space (``kept``).
+    document included, are removed; the rest is joined by one space. ``cleaned`` is that text,
+    or the text as it was where nothing is removed.
 
     Level-wise doubling. Every window has an anchor, its least run of a quarter
     of its length; about one word in fourteen begins one. Anchors that occur once
@@ -294,29 +300,30 @@ def remove_repeats(
     spot = "k1 long, k2 long, place int, hash long"
 
     anchors = scratch.keep(body.mapInArrow(_anchors(window), spot), "anchors")
-    live = _listed(_repeated(anchors, "hash"), "place", "places")
+    live = _listed(_repeated(anchors, scratch, "again-1", "hash"), "place", "places")
     runs = scratch.keep(body.join(live, KEYS).select(*KEYS, "_text", "places").mapInArrow(_doubled(window), spot), "runs")
-    codes = scratch.keep(_listed(_repeated(runs, "hash"), "place", "codes"), "codes")
-    scratch.drop("anchors", "runs")
+    codes = scratch.keep(_listed(_repeated(runs, scratch, "again-2", "hash"), "place", "codes"), "codes")
+    scratch.drop("anchors", "runs", "again-1", "again-2")
 
     alive = body.join(codes, KEYS).select(*KEYS, "_text", "codes")
     stretches = scratch.keep(alive.mapInArrow(_stretches(window), f"{spot}, d1 long, d2 long"), "stretches")
     same = ["hash", "d1", "d2"]
     one = F.min(F.struct(*KEYS, "place")).alias("one")
     distinct = scratch.keep(stretches.groupBy(*same).agg(F.count("*").alias("n"), one), "distinct")
-    whole = _listed(stretches.join(distinct.where("n > 1").select(*same), same), "place", "whole")
+    several = scratch.keep(distinct.where("n > 1").select(*same), "several")
+    whole = _listed(stretches.join(several, same), "place", "whole")
     whole = scratch.keep(whole, "whole")
-    scratch.drop("stretches")
-    differing = distinct.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
-    singled = _listed(distinct.join(differing, "hash").select("one.*"), "place", "places")
+    scratch.drop("stretches", "several")
+    differing = _repeated(distinct.select("hash", "one"), scratch, "again-4", "hash")
+    singled = _listed(differing.select("one.*"), "place", "places")
     shape = "k1 long, k2 long, place int, start int, d1 long, d2 long"
     windows = alive.join(singled, KEYS).select(*KEYS, "_text", "codes", "places").mapInArrow(_windows(window), shape)
     windows = scratch.keep(windows, "windows")
-    starts = scratch.keep(_listed(_repeated(windows, "d1", "d2"), "start", "starts"), "starts")
-    scratch.drop("distinct", "windows")
+    starts = scratch.keep(_listed(_repeated(windows, scratch, "again-3", "d1", "d2"), "start", "starts"), "starts")
+    scratch.drop("distinct", "windows", "again-3", "again-4")
 
     told = held.join(codes, KEYS, "left").join(whole, KEYS, "left").join(starts, KEYS, "left")
     told = told.select(id_col, *carry, "_text", "codes", "whole", "starts")
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in held.select(id_col, *carry).schema]
-    out = [*fields, "n_words long", "n_removed long", "kept_sha256 string", *(["kept string"] if with_text else [])]
+    out = [*fields, "n_words long", "n_removed long", "kept_sha256 string", *(["cleaned string"] if with_text else [])]
     return told.mapInArrow(_cleaned(window, with_text), ", ".join(out))

@@ -59,11 +59,12 @@ def judge_urls(
     labels, chars = sorted(shape["labels"]), sorted(shape["chars"])
 
     own = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    named = pages.select(*own, host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
+    page = F.struct(*own).alias("_page")  # no column of a page can clash with those below
+    named = pages.select(page, host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     if not labels:
-        return named.select("*", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
+        return named.select("_page.*", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
     tail, head = F.substring_index("host", ".", -labels[-1]), F.substring("path", 1, chars[-1])
-    named = named.withColumns({"_tail": tail, "_head": head, "_whole": F.col("host") == tail})
+    named = named.withColumns({"_tail": tail, "_head": head})
 
     reduced = named.select("_tail", "_head").where("_tail <> ''").distinct()
     suffixes = F.array_distinct(F.array(*[F.substring_index("_tail", ".", -n) for n in labels]))
@@ -91,5 +92,5 @@ def judge_urls(
         .agg(F.max(rank).alias("_best"))
     )
     return named.join(best, ["_tail", "_head"], "left").select(
-        *own, "host", "path", F.col("_best.rule").alias("rule"), F.coalesce("_best.verdict", F.lit(default)).alias("verdict")
+        "_page.*", "host", "path", F.col("_best.rule").alias("rule"), F.coalesce("_best.verdict", F.lit(default)).alias("verdict")
     )
