@@ -176,6 +176,23 @@ def mean_abs_corr(spark, sf):
     return days(spark, sf).groupBy("bucket").agg(r6(drift.mean_abs_corr(NUMERIC)).alias("mean_abs_corr"))
 
 
+WIDE = 100
+
+
+@query(
+    "mean_abs_corr_wide",
+    f"""WITH v AS (SELECT c_nationkey % 3 AS bucket, c_custkey AS r, j, ((c_custkey * (2 * j + 3)) % (11 + j))::DOUBLE AS x FROM customer, range({WIDE}) t(j)),
+    p AS (SELECT a.bucket, covar_pop(a.x, b.x) / nullif(stddev_pop(a.x) * stddev_pop(b.x), 0) AS c FROM v a JOIN v b ON a.r = b.r AND a.bucket = b.bucket
+      AND a.j < b.j GROUP BY a.bucket, a.j, b.j)
+    SELECT bucket, {d6(f"2 * sum(coalesce(abs(c), 0)) / {WIDE**2}")} AS mean_abs_corr FROM p GROUP BY bucket""",
+)
+def mean_abs_corr_wide(spark, sf):
+    """A hundred columns made from the customer keys."""
+    columns = {f"x.{j}": ((F.col("c_custkey") * (2 * j + 3)) % (11 + j)).cast("double") for j in range(WIDE)}
+    rows = view(spark, sf, "customer").select((F.col("c_nationkey") % 3).alias("bucket"), *[c.alias(n) for n, c in columns.items()])
+    return drift.mean_abs_corr_by(rows, list(columns), "bucket").withColumn("mean_abs_corr", r6("mean_abs_corr"))
+
+
 @query(
     "price_correlations",
     " UNION ALL ".join(
@@ -341,5 +358,5 @@ _TIE = "name, total_reviews, owners NULLS FIRST"
     *COMBINED_VIEWS,
 )
 def synthesize_drift(spark, sf):
-    rows = synthetic.synthesize_drift(combined(spark, sf).drop("review_part"), tie=("name", "total_reviews", "owners"))
+    rows = synthetic.synthesize_drift(combined(spark, sf), tie=("name", "total_reviews", "owners"))
     return rows.select("game_id", "name", "days_after_publish", "current_price", "tags", "positive_percent", "review")

@@ -174,7 +174,7 @@ def hash_split(spark, sf):
 
 @query(
     "aggregate_reviews",
-    """SELECT conv_id, CAST(0 AS BIGINT) AS review_part, string_agg(text, ' ' ORDER BY turn, text) AS all_reviews FROM
+    """SELECT conv_id, string_agg(text, ' ' ORDER BY turn, text) AS all_reviews FROM
     (SELECT conv_id, turn, CASE WHEN turn % 5 = 4 OR conv_id % 11 = 0 THEN NULL ELSE text END AS text FROM conversations) c GROUP BY conv_id""",
 )
 def aggregate_reviews(spark, sf):
@@ -184,6 +184,20 @@ def aggregate_reviews(spark, sf):
     return reviews.aggregate_reviews(turns, "conv_id", "text", "turn")
 
 
+@query(
+    "review_text_parts",
+    """WITH t AS (SELECT conv_id % 3 AS hot, CASE WHEN turn % 2 = 0 THEN turn END AS moment, text, row_number() OVER (PARTITION BY conv_id % 3
+      ORDER BY CASE WHEN turn % 2 = 0 THEN turn END NULLS FIRST, text) AS nth FROM conversations WHERE text IS NOT NULL),
+    s AS (SELECT *, sum(strlen(text) + 1) OVER (PARTITION BY hot ORDER BY nth) - strlen(text) - 1 AS before FROM t)
+    SELECT hot, CAST(before // 4000 AS BIGINT) AS part, string_agg(text, ' ' ORDER BY nth) AS review FROM s GROUP BY 1, 2""",
+)
+def review_text_parts(spark, sf):
+    """Three groups of turns, half of them without a moment, in parts of 4000 bytes."""
+    moment = F.expr("CASE WHEN turn % 2 = 0 THEN turn END").alias("moment")
+    turns = view(spark, sf, "conversations").select((F.col("conv_id") % 3).alias("hot"), moment, "text")
+    return reviews.review_text_parts(turns, "hot", "text", "moment", part_bytes=4000)
+
+
 @query(
     "cap_reviews_per_key",
     """SELECT game_id, doc_id, timestamp_created FROM (SELECT *, row_number() OVER (PARTITION BY game_id ORDER BY

@@ -40,8 +40,7 @@ def listings(spark, sf):
 @query(
     "combine_listings",
     f"""SELECT game_id, name, release_date, total_reviews, positive_percent, genres, tags, current_price, discounted_price,
-    owners, days_after_publish, review, owner_min, owner_max, {d6('owners_log_mean')} AS owners_log_mean,
-    CAST(0 AS BIGINT) AS review_part FROM ({COMBINED_SQL}) c""",
+    owners, days_after_publish, review, owner_min, owner_max, {d6('owners_log_mean')} AS owners_log_mean FROM ({COMBINED_SQL}) c""",
     *COMBINED_VIEWS,
 )
 def combine_listings(spark, sf):

@@ -32,11 +32,6 @@ def exclude_free(df: DataFrame, column: str = "current_price") -> DataFrame:
     return df.where(~mentions(column, "free"))
 
 
-def drop_unidentified(df: DataFrame, key: str = "game_id", year: str = "release_year") -> DataFrame:
-    """Drop listings without an id or a release year."""
-    return df.where(F.col(key).isNotNull() & F.col(year).isNotNull())
-
-
 def keep_below(df: DataFrame, column: str, bound: float) -> DataFrame:
     return df.where(F.col(column) <= bound)
 

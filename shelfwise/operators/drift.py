@@ -8,9 +8,10 @@ range partitions, so that no column or batch has to fit into one task.
 
 from __future__ import annotations
 
-import math
 from itertools import takewhile
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -282,6 +283,46 @@ def mean_abs_corr(columns: list[str]) -> Column:
     return 2 * total / (len(columns) ** 2)
 
 
+def mean_abs_corr_by(df: DataFrame, columns: list[str], by: str) -> DataFrame:
+    """(by, mean_abs_corr) as ``mean_abs_corr``, for any number of columns.
+
+    Each task adds up products of columns, k * k sums per group, over rows where
+    both are there; sums meet by (group, pair). Columns are shifted by their mean
+    before, which keeps the sums exact enough.
+    """
+    k = len(columns)
+    shift = np.array([x or 0.0 for x in df.agg(*[F.avg(F.col(f"`{c}`").cast("double")) for c in columns]).first()])
+    first, second = np.triu_indices(k, 1)
+    kind = df.schema[by].dataType.simpleString()
+
+    def partial(batches):
+        held: dict = {}
+        for batch in batches:
+            values = batch.iloc[:, 1:].to_numpy(float) - shift
+            groups = batch.iloc[:, 0]
+            for group in groups.unique():
+                x = values[(groups.isna() if pd.isna(group) else groups == group).to_numpy()]
+                there = ~np.isnan(x)
+                x, m = np.where(there, x, 0.0), there.astype(float)
+                left, square = x.T @ m, (x * x).T @ m
+                parts = (m.T @ m, left, left.T, square, square.T, x.T @ x)
+                old = held.get(group, [0.0] * 6)
+                held[group] = [o + p[first, second] for o, p in zip(old, parts)]
+        for group, sums in held.items():
+            yield pd.DataFrame({by: [group] * len(first), "i": first, "j": second, **{n: v for n, v in zip(_SUMS, sums)}})
+
+    rows = df.select(by, *[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    sums = rows.mapInPandas(partial, f"`{by}` {kind}, i long, j long, " + ", ".join(f"{n} double" for n in _SUMS))
+    total = sums.groupBy(by, "i", "j").agg(*[F.sum(n).alias(n) for n in _SUMS])
+    var_a, var_b = (F.expr(f"if({q} - {s} * {s} / n > 1e-12 * {q}, {q} - {s} * {s} / n, null)") for s, q in (("sa", "saa"), ("sb", "sbb")))
+    corr = F.abs((F.col("sab") - F.col("sa") * F.col("sb") / F.col("n")) / F.sqrt(var_a * var_b))
+    valid = F.when(F.col("n") > 0, corr)
+    return total.groupBy(by).agg((2 * F.coalesce(F.sum(valid), F.lit(0.0)) / k**2).alias("mean_abs_corr"))
+
+
+_SUMS = ("n", "sa", "sb", "saa", "sbb", "sab")
+
+
 def batch_metrics(
     reference: DataFrame,
     current: DataFrame,
@@ -310,12 +351,11 @@ def batch_metrics(
     plain = current.groupBy(bucket).agg(
         F.count("*").alias("n_rows"),
         (F.max(ranged) - F.min(ranged)).cast("double").alias("positive_percent_range"),
-        mean_abs_corr(columns).alias("mean_abs_corr"),
         *([missing_cells(columns).alias("share_missing_values")] if raw is None else []),
     )
     median = exact_quantile(current, [bucket], price, name="median_current_price")
     whole = dataset_drift(features).withColumnRenamed("bucket", bucket)
-    parts = [scored, whole, median]
+    parts = [mean_abs_corr_by(current, columns, bucket), scored, whole, median]
     if raw is not None:
         parts.append(missing_share(raw.where(F.col(bucket).isin(batches)), columns, bucket))
     out = plain
@@ -323,7 +363,3 @@ def batch_metrics(
         out = out.join(part, bucket, "left")
     return out
 
-
-def critical_ks(n: int, m: int) -> float:
-    """Distance beyond which two samples of these sizes differ at the 5 % level."""
-    return KS_FACTOR * math.sqrt((n + m) / (n * m))

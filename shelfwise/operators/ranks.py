@@ -6,7 +6,7 @@ operator here uses one on raw rows:
 * ``running_totals`` range-partitions the rows and cumulates the totals of the
   partitions (one small row each); only rows of one partition meet in a window.
 * ``exact_quantile`` brackets the quantile with a mergeable sketch and ranks only
-  the few values inside the bracket.
+  the few values inside the bracket, by running totals too.
 """
 
 from __future__ import annotations
@@ -52,7 +52,9 @@ def running_totals(
     )
     here = W.partitionBy(*keys, "_slice").orderBy(order)
     upto = here.rowsBetween(W.unboundedPreceding, 0)
-    return cut.join(offsets, [*keys, "_slice"]).select(
+    same = [F.col(f"cut.{k}").eqNullSafe(F.col(f"offsets.{k}")) for k in (*keys, "_slice")]
+    placed = cut.alias("cut").join(offsets.alias("offsets"), same).select("cut.*", "_next", *[f"_o_{m}" for m in measures])
+    return placed.select(
         *rows.columns,
         *[(F.col(f"_o_{m}") + F.sum(m).over(upto)).alias(f"cum_{m}") for m in measures],
         F.coalesce(F.lead(order).over(here), F.col("_next")).alias(f"next_{order}"),
@@ -62,18 +64,21 @@ def running_totals(
 def exact_quantile(
     df: DataFrame, keys: list[str], value: str, q: float = 0.5, name: str = "median", accuracy: int = ACCURACY
 ) -> DataFrame:
-    """Exact interpolated quantile per group; nulls are left out.
+    """Exact interpolated quantile per group; nulls and NaN are left out, and with
+    them groups that hold nothing else. A null key is a group of its own.
 
     The sketch errs by at most ``1/accuracy`` of the ranks, so a bracket of
     ``2/accuracy`` either side always holds the quantile once a group has
     ``2 * accuracy`` rows; smaller groups are ranked whole. The brackets are written
     (one row per group), which lets the planner broadcast them only when they are
-    small; the second pass keeps one count for everything below the bracket and
-    drops what lies above it.
+    small. Equal values are counted before anything is shuffled by group, so
+    a group with most of the rows is spread by value. One count is kept for
+    everything below the bracket, what lies above it is dropped, and the rest is
+    ranked by ``running_totals``, in as many tasks as it needs.
     """
     grouped = keys or ["_all"]
-    known = (df if keys else df.withColumn("_all", F.lit(1))).where(F.col(value).isNotNull())
-    known = known.select(*grouped, F.col(value).cast("double").alias("_v"))
+    rows = df if keys else df.withColumn("_all", F.lit(1))
+    known = rows.select(*grouped, F.col(value).cast("double").alias("_v")).where("_v is not null and not isnan(_v)")
     margin = 2.0 / accuracy
     spread = [max(0.0, q - margin), min(1.0, q + margin)]
     large, endless = F.col("_size") >= 2 * accuracy, F.lit(float("inf"))
@@ -88,14 +93,15 @@ def exact_quantile(
         ),
         "brackets",
     )
+    counted = known.groupBy(*grouped, "_v").agg(F.count("*").alias("_n"))
+    same = [F.col(f"counted.{k}").eqNullSafe(F.col(f"brackets.{k}")) for k in grouped]
+    bounded = counted.alias("counted").join(brackets.alias("brackets"), same).select("counted.*", "_lo", "_hi", "_size")
     inside = (
-        known.join(brackets, grouped)
-        .where(F.col("_v") <= F.col("_hi"))
+        bounded.where(F.col("_v") <= F.col("_hi"))
         .groupBy(*grouped, "_size", F.when(F.col("_v") >= F.col("_lo"), F.col("_v")).alias("_v"))
-        .agg(F.count("*").alias("_n"))
+        .agg(F.sum("_n").alias("_n"))
     )
-    line = W.partitionBy(*grouped).orderBy(F.col("_v").asc_nulls_first())
-    ranked = inside.withColumn("_cum", F.sum("_n").over(line.rowsBetween(W.unboundedPreceding, 0)))
+    ranked = running_totals(inside, grouped, "_v", ["_n"]).withColumnRenamed("cum__n", "_cum")
     spot = (F.col("_size") - 1) * F.lit(float(q))
 
     def at(rank: Column) -> Column:

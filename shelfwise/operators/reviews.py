@@ -9,10 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shelfwise.operators.ranks import running_totals
-from shelfwise.session import materialize
 
-# A Spark value holds less than 2 GB, so longer texts continue in further parts.
-PART_BYTES = 256 * 1024 * 1024
+PART_BYTES = 16 * 1024 * 1024  # of the text of a listing; a Spark value holds less than 2 GB
 
 
 def cap_reviews(
@@ -27,59 +25,55 @@ def cap_reviews(
     return df.withColumn("_rn", F.row_number().over(line)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def long_text_parts(reviews: DataFrame, key: str, size: str, span: str, part_bytes: int = PART_BYTES) -> DataFrame | None:
-    """Rows (key, span, review_part) with ``review_part > 0``: where the text of a
-    listing passes ``part_bytes``. None unless some listing is that long.
-
-    Texts are not shuffled here, only sizes; only spans of long listings are ordered.
-    """
-    totals = reviews.groupBy(key).agg(F.sum(size).alias("_all")).where(F.col("_all") > part_bytes).select(key)
-    if totals.isEmpty():
-        return None
-    sizes = reviews.groupBy(key, span).agg(F.sum(size).alias("_bytes"))
-    placed = running_totals(sizes.join(totals, key, "left_semi"), [key], span, ["_bytes"])
-    before = F.col("cum__bytes") - F.col("_bytes")
-    return placed.select(
-        key, span, F.floor(before / F.lit(part_bytes)).cast("bigint").alias("review_part")
-    ).where("review_part > 0")
-
-
 def aggregate_reviews(
     reviews: DataFrame,
     key: str = "game_id",
     text: str = "review",
     order: str = "timestamp_created",
-    span: Column | None = None,
     prepare: Callable[[Column], Column] | None = None,
-    part_bytes: int | None = PART_BYTES,
     name: str = "all_reviews",
 ) -> DataFrame:
-    """Texts of a listing joined by one space in (order, text) order; nulls are
-    skipped and a listing with nothing but nulls gives null.
+    """(key, all_reviews): the texts of a listing as one string, joined by one space in
+    (order, text) order; nulls are skipped and a listing with nothing but nulls
+    gives null.
 
-    Rows are (key, review_part, all_reviews). Nearly every listing has the single
-    part 0. One whose text passes ``part_bytes`` continues in parts 1, 2, …: joined
-    by a space in part order they are the whole text, and no task ever holds more
-    than one part plus one ``span`` of the order column (an hour by default).
-    ``part_bytes=None`` skips the size check where texts are known to be short.
+    One row per listing, whatever its size, so a listing's text must fit one value
+    (2 GB). ``review_text_parts`` is the form for feeds that may have longer ones.
 
-    ``prepare`` must not lengthen a text. It runs after the one shuffle, so costly
-    cleaning is spread evenly however few files the reviews came in.
+    ``prepare`` runs after the one shuffle, so costly cleaning is spread evenly
+    however few files the reviews came in.
     """
-    part = F.lit(0).cast("bigint")
-    if part_bytes is not None:
-        reviews = reviews.withColumns(
-            {
-                "_span": F.floor(F.col(order) / F.lit(3600)).cast("bigint") if span is None else span,
-                "_size": F.coalesce(F.octet_length(text).cast("bigint") + 1, F.lit(0).cast("bigint")),
-            }
-        )
-        cuts = long_text_parts(reviews, key, "_size", "_span", part_bytes)
-        if cuts is not None:
-            reviews = reviews.join(materialize(cuts, "parts"), [key, "_span"], "left")
-            part = F.coalesce("review_part", part)
-    placed = reviews.select(key, part.alias("review_part"), order, text).repartition(key, "review_part")
+    placed = reviews.select(key, order, text).repartition(key)
     if prepare is not None:
         placed = placed.withColumn(text, prepare(F.col(text)))
     joined = F.expr(f"string_agg(`{text}`, ' ') WITHIN GROUP (ORDER BY `{order}`, `{text}`)")
-    return placed.groupBy(key, "review_part").agg(joined.alias(name))
+    return placed.groupBy(key).agg(joined.alias(name))
+
+
+def review_text_parts(
+    reviews: DataFrame,
+    key: str = "game_id",
+    text: str = "review",
+    order: str = "timestamp_created",
+    prepare: Callable[[Column], Column] | None = None,
+    part_bytes: int = PART_BYTES,
+    name: str = "review",
+) -> DataFrame:
+    """(key, part, text) of every listing that has text, by one rule at every size.
+
+    A listing's texts in (order, text) order, null orders first, with one byte
+    between them, are cut where they pass a multiple of ``part_bytes``; a text goes
+    to the part in which it begins. Parts joined by a space in part order are what
+    ``aggregate_reviews`` gives. No part is longer than ``part_bytes`` and one text.
+    Rows are cut one by one, so very many texts of one moment, or without any
+    timestamp, are cut like all others; no task holds a whole listing.
+    """
+    body = F.col(text) if prepare is None else prepare(F.col(text))
+    rows = reviews.select(key, order, body.alias(name)).where(F.col(name).isNotNull())
+    spot = F.struct(F.col(order), F.col(name), F.monotonically_increasing_id().alias("row"))
+    sized = rows.select(key, spot.alias("_at"), (F.octet_length(name).cast("bigint") + 1).alias("_bytes"))
+    placed = running_totals(sized, [key], "_at", ["_bytes"])
+    part = F.floor((F.col("cum__bytes") - F.col("_bytes")) / F.lit(part_bytes)).cast("bigint")
+    cut = placed.select(key, part.alias("part"), F.col(f"_at.{order}").alias("_order"), F.col(f"_at.{name}").alias(name))
+    joined = F.expr(f"string_agg(`{name}`, ' ') WITHIN GROUP (ORDER BY `_order`, `{name}`)")
+    return cut.groupBy(key, "part").agg(joined.alias(name))

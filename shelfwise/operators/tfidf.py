@@ -46,9 +46,13 @@ def document_copies(frame: DataFrame, key: str) -> DataFrame:
     return frame.groupBy(key).agg(F.count("*").alias("copies"))
 
 
-def count_terms(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Rows (key, copies, term, n): occurrences per document."""
-    return tokens(docs, text, key, "copies").groupBy(key, "copies", "term").agg(F.count("*").alias("n"))
+def count_terms(texts: DataFrame, key: str, text: str) -> DataFrame:
+    """Rows (key, term, n): occurrences per document.
+
+    Each task counts its words first and sends counts by (key, term), never text;
+    a document with most of the words is spread by term.
+    """
+    return tokens(texts, text, key).groupBy(key, "term").agg(F.count("*").alias("n"))
 
 
 def fit_vocabulary(
@@ -62,7 +66,8 @@ def fit_vocabulary(
     the chosen terms are few and always broadcast to them.
     """
     copies = materialize(copies, "copies")
-    counts = materialize(count_terms(texts.select(key, text).join(copies, key), key, text), "term-counts")
+    counted = count_terms(texts, key, text).join(copies, key).select(key, "copies", "term", "n")
+    counts = materialize(counted, "term-counts")
     n_docs = copies.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
     per_term = counts.groupBy("term").agg(
         F.sum(F.col("n") * F.col("copies")).alias("tf"), F.sum("copies").alias("df")
@@ -197,7 +202,14 @@ def lexicon_sentiment(
     reviews: DataFrame, lexicon: DataFrame, key: str, text: str, name: str = "sentiment"
 ) -> DataFrame:
     """Rows (key, sentiment): mean weight of the words found in the lexicon (term,
-    weight), 0 without any. All words of a review sit in one task, so the partial
-    aggregate leaves one row per review to shuffle."""
-    found = reviews.select(key, F.explode_outer(words(text)).alias("term")).join(lexicon, "term", "left")
-    return found.groupBy(key).agg(F.coalesce(F.avg("weight"), F.lit(0.0)).alias(name))
+    weight), 0 without any.
+
+    Words are counted by (key, term) before they are shuffled, the lexicon is
+    written so that the planner knows its size, and only counts that meet it go on.
+    """
+    known = materialize(lexicon.select("term", "weight").where("weight is not null"), "lexicon")
+    counts = count_terms(reviews, key, text).join(known, "term")
+    found = counts.groupBy(key).agg((F.sum(F.col("n") * F.col("weight")) / F.sum("n")).alias("_mean"))
+    keys = reviews.select(F.col(key).alias("_key")).distinct()
+    told = keys.join(found, F.col("_key").eqNullSafe(F.col(key)), "left")
+    return told.select(F.col("_key").alias(key), F.coalesce("_mean", F.lit(0.0)).alias(name))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions.scalars import days_since, parse_owners, parse_release_date
 from shelfwise.functions.text import clean_review
 from shelfwise.operators.cleaning import exclude_free
-from shelfwise.operators.reviews import PART_BYTES, aggregate_reviews
+from shelfwise.operators.reviews import PART_BYTES, aggregate_reviews, review_text_parts
 from shelfwise.schemas import COMBINED
 
 
@@ -44,24 +44,19 @@ def combine_rows(listings: DataFrame, owners: DataFrame, as_of: str, keep_free:
     ).select("*", "o.*").drop("o")
 
 
-def combine(
-    listings: DataFrame,
-    owners: DataFrame,
-    reviews: DataFrame,
-    as_of: str,
-    keep_free: bool = False,
-    part_bytes: int | None = PART_BYTES,
-) -> DataFrame:
+def combine(listings: DataFrame, owners: DataFrame, reviews: DataFrame, as_of: str, keep_free: bool = False) -> DataFrame:
     """Listings with their owner range and review text; free listings left out.
 
-    ``review_part`` is 0, except that a text too long for one value continues in
-    further rows of the same listing; ``review_part = 0`` is always exactly one row
-    per combined listing.
+    Exactly one row per combined listing, with all its clean text as one value.
+    Where that may pass 2 GB, take ``combine_rows`` and ``combined_texts`` instead:
+    features are built from these two, never from the joined text.
     """
     rows = combine_rows(listings, owners, as_of, keep_free)
-    texts = aggregate_reviews(reviews, prepare=cleaned_text, part_bytes=part_bytes, name="review")
-    return rows.join(texts, "game_id", "left").select(
-        *[c for c in COMBINED.names if c != "review"],
-        F.coalesce("review", F.lit("")).alias("review"),
-        F.coalesce("review_part", F.lit(0).cast("bigint")).alias("review_part"),
-    )
+    texts = aggregate_reviews(reviews, prepare=cleaned_text, name="review")
+    joined = rows.join(texts, "game_id", "left")
+    return joined.select(*[c for c in COMBINED.names if c != "review"], F.coalesce("review", F.lit("")).alias("review"))
+
+
+def combined_texts(reviews: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
+    """(game_id, part, review): the clean text of each listing in parts of bounded size."""
+    return review_text_parts(reviews, prepare=cleaned_text, part_bytes=part_bytes)

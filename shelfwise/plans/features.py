@@ -49,16 +49,13 @@ def clean_frame(combined: DataFrame, drop_empty: bool = False) -> DataFrame:
 
 
 def listing_rows(combined: DataFrame) -> DataFrame:
-    """The combined listings without their text: continued parts are left out."""
-    if "review_part" in combined.columns:
-        combined = combined.where("review_part = 0")
-    return combined.drop("review_part", "review")
+    """The combined listings without their text."""
+    return combined.drop("review")
 
 
 def review_texts(combined: DataFrame) -> DataFrame:
     """(game_id, review), each text once however often its listing is repeated."""
-    parts = ["game_id"] + (["review_part"] if "review_part" in combined.columns else [])
-    return combined.where(F.col("review") != "").dropDuplicates(parts).select("game_id", "review")
+    return combined.where(F.col("review") != "").dropDuplicates(["game_id"]).select("game_id", "review")
 
 
 def fit_state(frame: DataFrame, texts: DataFrame, max_terms: int = tfidf.MAX_FEATURES, steps: int = 12) -> FeatureState:

@@ -18,16 +18,19 @@ from shelfwise.operators.evaluation import best_trial, regression_metrics
 from shelfwise.schemas import RUNS, SEED
 from shelfwise.session import materialize
 
-# Model families and their search ranges (low, high, step or "log").
+# Model families and their search ranges (low, high, step or "log"). Depth ends
+# at 30, where Spark's trees end; deeper draws would be fitted at 30 anyhow.
 FAMILIES = ("RandomForest", "GBT", "ExtraTrees", "LinearSVR")
 SEARCH_SPACE = {
-    "RandomForest": {"trees": (50, 500, 25), "depth": (5, 50, 1), "min_split": (2, 20, 1)},
+    "RandomForest": {"trees": (50, 500, 25), "depth": (5, 30, 1), "min_split": (2, 20, 1)},
     "GBT": {"trees": (50, 500, 25), "depth": (3, 30, 1), "rate": (0.001, 0.3, "log"), "leaves": (20, 100, 1)},
-    "ExtraTrees": {"trees": (50, 500, 25), "depth": (5, 50, 1), "min_split": (2, 20, 1)},
+    "ExtraTrees": {"trees": (50, 500, 25), "depth": (5, 30, 1), "min_split": (2, 20, 1)},
     "LinearSVR": {"epsilon": (1e-4, 0.1, "log"), "c": (0.01, 100.0, "log")},
 }
 MAX_DEPTH = 30
-SVR_STEPS = 100
+SVR_STEPS = 500  # at most; without convergence the fit is an error
+SVR_TOLERANCE = 1e-6  # relative gain of a step that ends the fit
+SVR_SMOOTH = 0.005  # residual over which the loss bends from flat to linear
 
 
 @dataclass(frozen=True)
@@ -54,30 +57,56 @@ class LinearSVRModel:
         return df.withColumn("prediction", self.prediction())
 
 
-def _step_sums(df: DataFrame, w: np.ndarray, mean: np.ndarray, spread: np.ndarray, epsilon: float) -> np.ndarray:
-    """Sum over rows of ``sign(residual) * [standardised features, 1]`` where the
-    residual leaves the tolerance band: one vector per task, merged in a tree."""
+def _loss_sums(data: DataFrame, w: np.ndarray, b: float, epsilon: float) -> tuple[float, np.ndarray]:
+    """(loss, its derivatives by ``w`` and ``b``) summed over rows (i, v, y) of sparse
+    features: one vector per task, merged in a tree."""
 
     def partial(batches):
-        total = np.zeros(len(w))
+        loss, slopes = 0.0, np.zeros(len(w) + 1)
         for batch in batches:
-            if len(batch):
-                x = (np.stack(batch["x"].to_numpy()) - mean) / spread
-                off = batch["y"].to_numpy() - x @ w[:-1] - w[-1]
-                pull = np.where(np.abs(off) > epsilon, np.sign(off), 0.0)
-                total += np.append(pull @ x, pull.sum())
-        yield pd.DataFrame({"g": [total]})
-
-    merged = df.mapInPandas(partial, "g array<double>").rdd.map(lambda r: np.array(r.g))
-    return merged.treeReduce(lambda a, b: a + b, depth=2)
+            if not len(batch):
+                continue
+            count = batch["i"].map(len).to_numpy()
+            row, at, value = np.repeat(np.arange(len(batch)), count), np.concatenate(batch["i"].to_list()).astype(int), np.concatenate(batch["v"].to_list())
+            off = batch["y"].to_numpy() - np.bincount(row, value * w[at], len(batch)) - b
+            over = np.maximum(np.abs(off) - epsilon, 0.0)
+            bent = over < SVR_SMOOTH
+            loss += np.where(bent, over * over / (2 * SVR_SMOOTH), over - SVR_SMOOTH / 2).sum()
+            pull = -np.sign(off) * np.where(bent, over / SVR_SMOOTH, 1.0)
+            slopes += np.append(np.bincount(at, value * pull[row], len(w)), pull.sum())
+        yield pd.DataFrame({"g": [np.append(slopes, loss)]})
+
+    merged = data.mapInPandas(partial, "g array<double>").rdd.map(lambda r: np.array(r.g)).treeReduce(lambda x, y: x + y, depth=2)
+    return merged[-1], merged[:-1]
+
+
+def _direction(slope: np.ndarray, moves: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Quasi-Newton direction from the last moves (change of point, change of slope)."""
+    d, back = -slope, []
+    for step, bend in reversed(moves):
+        a = step @ d / (step @ bend)
+        back.append(a)
+        d = d - a * bend
+    if moves:
+        step, bend = moves[-1]
+        d = d * (step @ bend / (bend @ bend))
+    for (step, bend), a in zip(moves, reversed(back)):
+        d = d + (a - bend @ d / (step @ bend)) * step
+    return d
 
 
 def fit_linear_svr(
-    train: DataFrame, epsilon: float = 0.01, c: float = 1.0, steps: int = SVR_STEPS, label: str = "discount_pct"
+    train: DataFrame, epsilon: float = 0.01, c: float = 1.0, steps: int = SVR_STEPS, label: str = "discount_pct",
+    tolerance: float = SVR_TOLERANCE,
 ) -> LinearSVRModel:
-    """Linear fit that ignores errors up to ``epsilon``: decreasing sub-gradient steps
-    on ``|w|^2/2 + c * sum(max(0, |y - wx - b| - epsilon))`` over standardised
-    features, and the mean of the later half of the iterates."""
+    """Linear fit that ignores errors up to ``epsilon``.
+
+    Minimises ``|w|^2 / (2cn) + mean(max(0, |y - wx - b| - epsilon))`` over standardised
+    features, with the corner of the loss rounded over ``SVR_SMOOTH``, by limited-memory
+    quasi-Newton steps until a step gains less than ``tolerance``; raises if ``steps``
+    do not suffice. Features stay sparse: standardisation is folded into the weights,
+    so a row costs its non-zero entries only.
+    """
     stats = train.agg(
         Summarizer.metrics("mean", "std", "count").summary(F.col("features")).alias("s"), F.percentile_approx(label, 0.5).alias("y")
     ).first()
@@ -86,30 +115,60 @@ def fit_linear_svr(
         raise ValueError("no training rows")
     mean, spread = stats.s["mean"].toArray(), stats.s["std"].toArray()
     spread = np.where(spread > 0, spread, 1.0)
-    data = materialize(train.select(vector_to_array("features").alias("x"), F.col(label).cast("double").alias("y")), "svr")
-    decay = 1.0 / (c * n)
-    w = np.append(np.zeros(len(mean)), float(stats.y))
-    tail, kept = np.zeros(len(w)), 0
-    for t in range(1, steps + 1):
-        rate = 0.1 / np.sqrt(t) / (1.0 + 0.1 * decay)
-        shrink = np.append(np.full(len(mean), 1 - rate * decay), 1.0)
-        w = shrink * w + rate * _step_sums(data, w, mean, spread, epsilon) / n
-        if t > steps // 2:
-            tail, kept = tail + w, kept + 1
-    w = tail / kept
-    plain = w[:-1] / spread
-    return LinearSVRModel([*map(float, plain), float(w[-1] - plain @ mean)])
+    entries = F.filter(F.transform(vector_to_array("features"), lambda v, i: F.struct(i.alias("i"), v.alias("v"))), lambda e: e["v"] != 0)
+    rows = train.select(entries.alias("e"), F.col(label).cast("double").alias("y"))
+    data = materialize(rows.select(F.col("e.i").alias("i"), F.col("e.v").alias("v"), "y"), "svr")
+
+    def value(p: np.ndarray) -> tuple[float, np.ndarray]:
+        plain = p[:-1] / spread
+        loss, g = _loss_sums(data, plain, p[-1] - plain @ mean, epsilon)
+        slopes = np.append((g[:-1] - g[-1] * mean) / spread, g[-1]) / n
+        slopes[:-1] += p[:-1] / (c * n)
+        return loss / n + p[:-1] @ p[:-1] / (2 * c * n), slopes
+
+    point = np.append(np.zeros(len(mean)), float(stats.y))
+    now, slope = value(point)
+    moves: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(steps):
+        d, length = _direction(slope, moves), 1.0 if moves else min(1.0, 1.0 / (np.abs(slope).sum() + 1e-12))
+        while True:
+            then, bent = value(point + length * d)
+            if then <= now + 1e-4 * length * (slope @ d) or length < 1e-10:
+                break
+            length /= 2
+        gain, step, bend = now - then, length * d, bent - slope
+        if gain <= tolerance * max(abs(now), tolerance):
+            break
+        point, now, slope = point + step, then, bent
+        if step @ bend > 1e-12:
+            moves = [*moves[-9:], (step, bend)]
+    else:
+        raise RuntimeError(f"the linear fit did not converge in {steps} steps")
+    plain = point[:-1] / spread
+    return LinearSVRModel([*map(float, plain), float(point[-1] - plain @ mean)])
+
+
+def used(trial: Trial) -> Trial:
+    """The trial with the parameters that are fitted and recorded.
+
+    Boosting grows by level, so a leaf limit is the depth that holds that many
+    leaves. A minimum split of n becomes a minimum leaf of
+    n/2 on fitting. Depths beyond Spark's limit are refused.
+    """
+    p = dict(trial.params)
+    if trial.family == "GBT" and "leaves" in p:
+        p["depth"] = min(int(p.get("depth", MAX_DEPTH)), int(np.ceil(np.log2(p.pop("leaves")))))
+    if p.get("depth", 0) > MAX_DEPTH:
+        raise ValueError(f"depth {p['depth']} is beyond {MAX_DEPTH}")
+    return Trial(trial.family, p)
 
 
 def fit_model(train: DataFrame, trial: Trial, label: str = "discount_pct", seed: int = SEED):
-    """Fit one family. Tree depth stops at Spark's limit of 30; a minimum split of n
-    becomes a minimum leaf of n/2. GBT grows by level, so a leaf limit becomes the
-    depth that holds that many leaves. ExtraTrees is approximated by unsampled trees
-    over a third of the features with few split candidates (Spark has no random
-    thresholds)."""
-    p = trial.params
-    depth = min(int(p.get("depth", 5)), MAX_DEPTH)
-    leaf = max(1, int(p.get("min_split", 2)) // 2)
+    """Fit one family with the parameters of ``used(trial)``. ExtraTrees is
+    approximated by unsampled trees over a third of the features with few split
+    candidates (Spark has no random thresholds)."""
+    p = used(trial).params
+    depth, leaf = int(p.get("depth", 5)), max(1, int(p.get("min_split", 2)) // 2)
     common = dict(featuresCol="features", labelCol=label, seed=seed)
     if trial.family == "RandomForest":
         return RandomForestRegressor(
@@ -122,8 +181,6 @@ def fit_model(train: DataFrame, trial: Trial, label: str = "discount_pct", seed:
             featureSubsetStrategy="onethird", maxBins=8, **common,
         ).fit(train)
     if trial.family == "GBT":
-        if "leaves" in p:
-            depth = min(depth, int(np.ceil(np.log2(p["leaves"]))))
         return GBTRegressor(
             maxIter=int(p.get("trees", 100)), maxDepth=depth, stepSize=float(p.get("rate", 0.1)), **common
         ).fit(train)
@@ -145,11 +202,11 @@ def sample_trials(n: int, seed: int = SEED) -> list[Trial]:
         return int(low + step * draw.integers(0, (high - low) // step + 1))
 
     picks = [FAMILIES[i % len(FAMILIES)] for i in range(n)]
-    return [Trial(f, {k: value(*r) for k, r in SEARCH_SPACE[f].items()}) for f in picks]
+    return [used(Trial(f, {k: value(*r) for k, r in SEARCH_SPACE[f].items()})) for f in picks]
 
 
 def run_row(spark: SparkSession, run_id: str, name: str, trial: Trial, scores: dict) -> DataFrame:
-    params = {k: str(v) for k, v in trial.params.items()}
+    params = {k: str(v) for k, v in used(trial).params.items()}
     row = (run_id, name, trial.family, params, scores["rmse"], scores["mae"], scores["mape"])
     return spark.createDataFrame([row], RUNS)
 
@@ -166,7 +223,7 @@ def run_trials(
         i, trial = numbered
         scored = fit_model(train, trial, label).transform(holdout)
         s = regression_metrics(scored, label, "prediction").first()
-        params = {k: str(v) for k, v in trial.params.items()}
+        params = {k: str(v) for k, v in used(trial).params.items()}
         return (f"trial-{i:04d}", f"search_{trial.family}", trial.family, params, s.rmse, s.mae, s.mape)
 
     with ThreadPoolExecutor(parallelism) as pool:

@@ -7,9 +7,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from shelfwise.operators import pricing, reviews
+from shelfwise.operators import pricing, ranks, reviews
 from shelfwise.operators.ranks import exact_quantile, running_totals, value_counts
-from shelfwise.plans.combine import combine
+from shelfwise.plans.combine import combine, combined_texts
 
 
 def lopsided(n=4000, seed=1):
@@ -55,14 +55,21 @@ def feed(spark, n=600):
     return spark.createDataFrame(rows, "game_id bigint, timestamp_created bigint, review string")
 
 
-def test_long_texts_continue_in_parts(spark):
-    whole = reviews.aggregate_reviews(feed(spark)).toPandas()
-    assert (whole["review_part"] == 0).all()
-    parts = reviews.aggregate_reviews(feed(spark), part_bytes=400).toPandas().sort_values(["game_id", "review_part"])
-    assert parts["review_part"].max() > 3
-    assert parts["all_reviews"].dropna().map(lambda t: len(t.encode())).max() <= 400 + 2 * 40
-    joined = parts.groupby("game_id")["all_reviews"].agg(" ".join)
-    assert joined.to_dict() == whole.set_index("game_id")["all_reviews"].to_dict()
+def hot_feed(spark):
+    """A listing with most of the reviews, all of one moment or of none."""
+    rows = [(1, None if i % 2 else 77, f"text {i % 90} é") for i in range(900)] + [(2, 5, None), (3, 1, "only"), (None, 1, "a"), (None, None, "b")]
+    return spark.createDataFrame(rows, "game_id bigint, timestamp_created bigint, review string")
+
+
+@pytest.mark.parametrize("source", [feed, hot_feed])
+def test_texts_in_parts_of_bounded_size(spark, source):
+    whole = {r.game_id: r.all_reviews for r in reviews.aggregate_reviews(source(spark)).collect() if r.all_reviews is not None}
+    parts = reviews.review_text_parts(source(spark), part_bytes=400).collect()
+    assert max(len(p.review.encode()) for p in parts) <= 400 + 20 and max(p.part for p in parts) > 3
+    got = {}
+    for p in sorted(parts, key=lambda p: p.part):
+        got.setdefault(p.game_id, []).append(p.review)
+    assert {k: " ".join(v) for k, v in got.items()} == whole
 
 
 def test_all_null_texts_stay_null(spark):
@@ -70,16 +77,17 @@ def test_all_null_texts_stay_null(spark):
     assert {r.game_id: r.all_reviews for r in reviews.aggregate_reviews(df).collect()} == {5: None, 6: "x"}
 
 
-def test_combine_keeps_one_row_per_listing_at_part_zero(spark):
+def test_combine_has_one_row_per_listing(spark):
     listings = spark.createDataFrame(
         [(g, "n", "1 Jan, 2020", 5, 50, "A", "A", "$5.00", "$4.00") for g in (1, 2, 99)],
         "game_id bigint, name string, release_date string, total_reviews bigint, positive_percent int, genres string, "
         "tags string, current_price string, discounted_price string",
     )
     owners = spark.createDataFrame([(1, "1 .. 2")], "game_id bigint, owners string")
-    out = combine(listings, owners, feed(spark), "2025-01-01 00:00:00", part_bytes=400)
-    assert out.where("review_part = 0").count() == 3
-    assert out.where("game_id = 1").count() > 3
+    out = combine(listings, owners, feed(spark), "2025-01-01 00:00:00")
+    assert sorted(r.game_id for r in out.collect()) == [1, 2, 99]
+    texts = combined_texts(feed(spark), part_bytes=400).where("game_id = 1").orderBy("part").collect()
+    assert len(texts) > 3 and " ".join(t.review for t in texts) == out.where("game_id = 1").first().review
     assert out.where("game_id = 99").first().review == ""
 
 
@@ -103,3 +111,24 @@ def test_hot_tag_list(spark):
     assert len(got) == 900
     wanted = got["tags"].map(lambda ts: np.mean([flat[t] for t in ts]))
     assert np.allclose(got["competitor_pricing"], wanted)
+
+
+def test_quantile_leaves_nan_out_and_keeps_null_groups(spark):
+    nan = float("nan")
+    rows = [("a", 1.0), ("a", 2.0), ("a", nan), ("b", 1.0), ("b", nan), ("b", nan), ("c", nan), ("d", None), (None, 4.0), (None, 6.0), (None, nan)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    assert {r.k: r.median for r in exact_quantile(df, ["k"], "v").collect()} == {"a": 1.5, "b": 1.0, None: 5.0}
+    assert exact_quantile(df, [], "v").first().median == 2.0
+
+
+def test_quantile_counts_values_before_groups_are_joined(spark, monkeypatch):
+    monkeypatch.setattr(ranks, "running_totals", lambda rows, keys, order, measures: rows.withColumn("cum__n", F.col("_n")))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(100).select(F.col("id") % 3, F.col("id").cast("double").alias("v")).toDF("k", "v")
+        plan = exact_quantile(df, ["k"], "v")._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    join = plan.index("SortMergeJoin")
+    assert "partial_count(1)" in plan[join:] and "k#" in plan[join:]
