@@ -142,17 +142,19 @@ def training_windows(docs: DataFrame, id_col: str, text: str, lang: str, sample:
     so that ranking a language with most of the documents stays small. The chosen
     ids are broadcast: ``sample * MAX_LANGUAGES`` at most.
     """
-    known = docs.where(F.col(lang).isNotNull() & (share(id_col, parts) != held)).select(F.col(id_col).alias("_id"), F.col(lang).alias("_lang"))
+    docs = docs.select(F.col(id_col).alias("_key"), F.col(text).alias("_text"), F.col(lang).alias("_lang"))
+    known = docs.where(F.col("_lang").isNotNull() & (share("_key", parts) != held)).select(F.col("_key").alias("_id"), "_lang")
     counts = known.groupBy("_lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "_lang").limit(MAX_LANGUAGES)
     spread = F.pmod(F.xxhash64(F.col("_id").cast("string"), F.lit("sample")), F.lit(1 << 30))
     cut = known.join(F.broadcast(counts), "_lang").withColumn("_h", spread).where((F.col("_h") * F.col("n")) <= F.lit(2.0 * sample * (1 << 30)))
     nth = F.row_number().over(W.partitionBy("_lang").orderBy("_h", "_id"))
     chosen = cut.withColumn("_nth", nth).where(F.col("_nth") <= sample).select("_id", "_lang").distinct()
-    body = F.coalesce(F.col(text), F.lit(""))
+    body = F.coalesce("_text", F.lit(""))
     room = F.greatest(F.length(body) - WINDOW, F.lit(1))
-    spots = F.array(*[F.substring(body, (F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(k)), room) + 1).cast("int"), F.lit(WINDOW)) for k in range(SPOTS)])
-    there = docs.where(body.rlike(r"\p{L}")).join(F.broadcast(chosen), F.col(id_col) == F.col("_id"))
-    return there.select(F.col("_id"), F.col("_lang"), F.explode(F.array_distinct(spots)).alias("window")).limit(sample * MAX_LANGUAGES * SPOTS)
+    spot = [(F.pmod(F.xxhash64(F.col("_key").cast("string"), F.lit(k)), room) + 1).cast("int") for k in range(SPOTS)]
+    spots = F.array_distinct(F.array(*[F.substring(body, at, F.lit(WINDOW)) for at in spot]))
+    there = docs.drop("_lang").where(body.rlike(r"\p{L}")).join(F.broadcast(chosen), F.col("_key") == F.col("_id"))
+    return there.select("_id", "_lang", F.explode(spots).alias("window")).limit(sample * MAX_LANGUAGES * SPOTS)
 
 
 def learn(windows: list[tuple[str, str]], epochs: int = EPOCHS) -> Network | None:

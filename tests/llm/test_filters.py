@@ -129,7 +129,7 @@ def test_learned_rules_find_junk_and_keep_the_rest(spark):
             w = [x + r.choice(["##", "!!"]) for x in w]
         rows.append((k, " ".join(w), None, None))
         if k % 10:
-            labels.append((k, 1 - junk if r.random() < 0.97 else junk, 0))
+            labels.append((k, int(junk != (r.random() < 0.97)), 0))
     rows += [(2000, "too short", None, None), (2001, None, None, None), (2002, "one two three " * 40, None, None), (None, rows[0][1], None, None)]
     marks = spark.createDataFrame([*labels, labels[0], (None, 1, 0), (5, None, 0)], "doc_id long, quality int, toxic int")
     got = {x.doc_id: x for x in judge_quality(frame(spark, rows), marks).collect()}
