@@ -146,7 +146,7 @@ def training_windows(docs: DataFrame, id_col: str, text: str, lang: str, sample:
     known = docs.where(F.col("_lang").isNotNull() & (share("_key", parts) != held)).select(F.col("_key").alias("_id"), "_lang")
     counts = known.groupBy("_lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "_lang").limit(MAX_LANGUAGES)
     spread = F.pmod(F.xxhash64(F.col("_id").cast("string"), F.lit("sample")), F.lit(1 << 30))
-    cut = known.join(F.broadcast(counts), "_lang").withColumn("_h", spread).where((F.col("_h") * F.col("n")) <= F.lit(2.0 * sample * (1 << 30)))
+    cut = known.join(F.broadcast(counts), "_lang").withColumn("_h", spread).where((F.col("_h").cast("double") * F.col("n")) <= F.lit(2.0 * sample * (1 << 30)))
     nth = F.row_number().over(W.partitionBy("_lang").orderBy("_h", "_id"))
     chosen = cut.withColumn("_nth", nth).where(F.col("_nth") <= sample).select("_id", "_lang").distinct()
     body = F.coalesce("_text", F.lit(""))

@@ -132,7 +132,7 @@ def training_terms(docs: DataFrame, labels: DataFrame, id_col: str, text: str, s
     counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     chosen = None
     for label, n in sorted(counts.items()):
-        some = known.where(F.col("label") == label).withColumn("_h", spread).where(F.col("_h") * F.lit(n) <= F.lit(2.0 * sample * (1 << 30)))
+        some = known.where(F.col("label") == label).withColumn("_h", spread).where(F.col("_h").cast("double") * F.lit(n) <= F.lit(2.0 * sample * (1 << 30)))
         some = some.dropDuplicates(["_id"]).orderBy("_h", "_id").limit(sample).select("_id", "label")
         chosen = some if chosen is None else chosen.union(some)
     if chosen is None:
