@@ -8,6 +8,7 @@ range partitions, so that no column or batch has to fit into one task.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from itertools import takewhile
 
 import numpy as np
@@ -54,8 +55,29 @@ def bucket_list(df: DataFrame, column: str = "bucket") -> list[int]:
     return list(takewhile(seen.__contains__, range(len(seen))))
 
 
+@dataclass(frozen=True)
+class CountedReference:
+    """A static reference, counted once: (column_name, value, n_ref) and (column_name, spread)."""
+
+    counts: DataFrame
+    spread: DataFrame
+
+
+def _long(df: DataFrame, columns: list[str], kind: str, *keep: Column) -> DataFrame:
+    picked = df.select(*keep, *[F.col(c).cast(kind).alias(c) for c in columns])
+    names = [c for c in picked.columns if c not in columns]
+    melted = picked.unpivot(names, columns, "column_name", "value").where(F.col("value").isNotNull())
+    return melted.where(~F.isnan("value")) if kind == "double" else melted
+
+
+def count_reference(reference: DataFrame, columns: list[str]) -> CountedReference:
+    """Numeric columns of a reference that many batches are compared with, counted and written."""
+    counts = _long(reference, columns, "double").groupBy("column_name", "value").agg(F.count("*").alias("n_ref"))
+    return CountedReference(materialize(counts, "reference-counts"), materialize(reference_spread(reference, columns), "reference-spread"))
+
+
 def side_counts(
-    reference: DataFrame,
+    reference: DataFrame | CountedReference,
     current: DataFrame,
     columns: list[str],
     bucket: str | None = None,
@@ -71,16 +93,14 @@ def side_counts(
     listed = F.array(*[F.lit(int(b)) for b in batches]).cast("array<bigint>")
     tag = F.lit(0) if bucket is None else F.col(bucket)
 
-    def long(df: DataFrame, mark: Column) -> DataFrame:
-        picked = df.select(mark.cast("bigint").alias("bucket"), *[F.col(c).cast(kind).alias(c) for c in columns])
-        melted = picked.unpivot(["bucket"], columns, "column_name", "value").where(F.col("value").isNotNull())
-        return melted.where(~F.isnan("value")) if kind == "double" else melted
-
     group = ["bucket", "column_name", "value"]
-    ref = long(reference, F.lit(0)).groupBy(*group).agg(F.count("*").alias("n_ref"))
+    if isinstance(reference, CountedReference):
+        ref = reference.counts
+    else:
+        ref = _long(reference, columns, kind).groupBy("column_name", "value").agg(F.count("*").alias("n_ref"))
     ref = ref.withColumn("bucket", F.explode(listed)).withColumn("n_cur", F.lit(0).cast("bigint"))
     kept = current if bucket is None else current.where(F.col(bucket).isin(batches))
-    cur = long(kept, tag).groupBy(*group).agg(F.count("*").alias("n_cur"))
+    cur = _long(kept, columns, kind, tag.cast("bigint").alias("bucket")).groupBy(*group).agg(F.count("*").alias("n_cur"))
     cur = cur.withColumn("n_ref", F.lit(0).cast("bigint"))
     return ref.unionByName(cur).groupBy(*group).agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
 
@@ -183,17 +203,19 @@ def reference_spread(reference: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def numeric_drift(
-    reference: DataFrame,
+    reference: DataFrame | CountedReference,
     current: DataFrame,
     columns: list[str],
     bucket: str | None = None,
     buckets: list[int] | None = None,
 ) -> DataFrame:
     """One row per (bucket, column_name) with every distance, the chosen test, its
-    score and limit, and the drift flag."""
+    score and limit, and the drift flag. Give ``count_reference`` of a reference that
+    is compared again and again."""
+    spread = reference.spread if isinstance(reference, CountedReference) else reference_spread(reference, columns)
     counts = materialize(side_counts(reference, current, columns, bucket, buckets), "side-counts")
     totals = materialize(
-        _totals(counts).join(reference_spread(reference, columns), "column_name"), "side-totals"
+        _totals(counts).join(spread, "column_name"), "side-totals"
     )
     ordered = running_totals(counts, ["bucket", "column_name"], "value", ["n_ref", "n_cur"])
     gap = F.abs(_share("cum_n_ref", "ref_rows") - _share("cum_n_cur", "cur_rows"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,16 +95,16 @@ def run_batches(
 
 
 def compare_with_reference(
-    stream: DataFrame, reference: DataFrame, compare: Callable[[DataFrame, DataFrame], DataFrame], label: str,
-    schema: T.StructType,
+    stream: DataFrame, reference: Any, compare: Callable[[Any, DataFrame], DataFrame], label: str, schema: T.StructType
 ) -> DataFrame:
-    """Static reference against each arriving batch; the reference is read once per
-    batch from files, never recomputed."""
+    """Static reference against each arriving batch. What ``compare`` needs of the
+    reference should be prepared before (``drift.count_reference``): a batch then
+    reads its counts and counts nothing but itself."""
     return run_batches(stream, lambda batch, _: compare(reference, batch), label, schema)
 
 
 def replay_buckets(
-    batches: DataFrame, reference: DataFrame, compare: Callable[[DataFrame, DataFrame], DataFrame], label: str,
+    batches: DataFrame, reference: Any, compare: Callable[[Any, DataFrame], DataFrame], label: str,
     schema: T.StructType, bucket: str = "bucket",
 ) -> DataFrame:
     """Replay dated batches one at a time against a static reference, from bucket 0 up
