@@ -9,7 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.functions.scalars import discount_fraction
+from shelfwise.functions.scalars import discount_fraction, parse_price
 from shelfwise.functions.text import split_trim
 from shelfwise.operators import cleaning, encoding, pricing, tfidf
 from shelfwise.schemas import MONITORED_FEATURES, SEED
@@ -127,6 +127,27 @@ def training_frame(
     return add_features(frame, texts, state), state
 
 
+def scoring_frame(rows: DataFrame, texts: DataFrame, state: FeatureState) -> DataFrame:
+    """Features of new raw rows (as ``combine_rows`` gives them), one row per row.
+
+    No target is needed and no row is dropped: prices that do not parse and missing
+    numbers become 0, missing lists are empty, and items that no vocabulary holds are
+    ignored. State comes from the training rows, as it was saved.
+    """
+    frame = rows.withColumns(
+        {
+            "current_price": parse_price("current_price"),
+            "genres": F.coalesce(split_trim("genres", ","), F.array().cast("array<string>")),
+            "tags": F.coalesce(split_trim("tags", ";"), F.array().cast("array<string>")),
+        }
+    )
+    numbers = [c for c in encoding.NUMERIC_FEATURES if c in frame.columns]
+    frame = cleaning.sanitize(frame.drop("discounted_price"), *numbers)
+    for column, vocab in (("genres", state.genres), ("tags", state.tags)):
+        frame = pricing.restrict_to_vocabulary(frame, column, vocab)
+    return add_features(materialize(frame, "new-rows"), texts, state)
+
+
 def monitoring_frame(combined: DataFrame, texts: DataFrame, state: FeatureState, wide: bool = False) -> DataFrame:
     """Compared columns of a batch, infinities and nulls as 0. With ``wide`` one 0/1
     column per known genre and tag is added.
