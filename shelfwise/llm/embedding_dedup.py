@@ -13,7 +13,7 @@ from shelfwise.llm.components import components
 from shelfwise.llm.support import Scratch, least_reached, runs_of
 
 THRESHOLD = 0.93
-GRID = 3  # leading components that tiles are cut by
+GRID = 2  # leading components that tiles are cut by
 TILE = 1024  # vectors of a tile, about
 LEAD = 8  # dimensions of the first comparison step; doubled at each further step
 SLACK = 1e-9  # added to bounds, far above rounding
@@ -222,7 +222,8 @@ def similar_vectors(
     tops = tops.select("_label", "vec", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "node").alias("comp"))
     all_rows = rows.join(tops, ["_label", "vec"], "left").withColumn("comp", F.coalesce("comp", "_row"))
     order = F.struct(F.col(id_col).isNull().alias("absent"), F.col(id_col).alias("id"), F.col("_row").alias("row"))
-    least = all_rows.groupBy("comp").agg(F.min(order).alias("least"))
+    all_rows = scratch.keep(all_rows, "all")  # so that a hot component is a plain shuffle on both sides
+    least = scratch.keep(all_rows.groupBy("comp").agg(F.min(order).alias("least")), "least")
     return all_rows.join(least, "comp").select(
         id_col,
         *carry,
