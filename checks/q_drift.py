@@ -9,7 +9,7 @@ from checks.registry import d6, d_hash, d_price, query, r6
 from checks.views import view
 from shelfwise.functions.scalars import bucket_of
 from shelfwise.operators import cleaning, drift, synthetic
-from shelfwise.plans import monitor
+from shelfwise.plans import monitor, train
 from shelfwise.session import fresh_path
 from shelfwise.sources import tables
 
@@ -288,6 +288,37 @@ def plain_time(df, column):
     return df.withColumn(column, F.col(column).cast("timestamp_ntz"))
 
 
+_PREDICTED = "((0.25::DOUBLE + current_price * 0.004::DOUBLE) + positive_percent * -0.002::DOUBLE) + stars * 0.05::DOUBLE"
+_SCORED = f"FROM (SELECT * REPLACE ({_PREDICTED} AS prediction) FROM metric_days)"
+
+
+@query(
+    "monitor_end_to_end",
+    f"""{METRICS_SQL.replace('FROM metric_days', _SCORED, 1)}, metrics AS (SELECT TIMESTAMP '2025-06-16 00:00:00' + bucket * INTERVAL 1 MINUTE AS timestamp,
+    {d6('score')} AS prediction_drift_score, drifted AS prediction_drift_detected, num_drifted_columns, {d6('share_drifted_columns')} AS share_drifted_columns,
+    {d6('share_missing_values')} AS missing_values_share, positive_percent_range, {d6('median_current_price')} AS median_current_price,
+    mean_abs_corr AS mean_abs_correlation FROM plain JOIN flags USING (bucket) JOIN pred USING (bucket))
+    SELECT *, prediction_drift_score AS stored_drift, num_drifted_columns AS stored_columns FROM metrics""",
+    "metric_days",
+)
+def monitor_end_to_end(spark, sf):
+    """A saved model's predictions, replayed, stored as metric rows and as documents; both are read back."""
+    path = fresh_path(spark, "monitoring")
+    train.save_model(train.LinearSVRModel([0.004, -0.002, 0.05, 0.25]), f"{path}/model", spark)
+    model = train.load_model(f"{path}/model", "LinearSVR", spark)
+    rows = view(spark, sf, "metric_days")
+    features = ["current_price", "positive_percent", "stars"]
+    monitor.monitor_batches(rows, model, features, NUMERIC, path, "2025-06-16 00:00:00", order=("event_id",))
+    stored = monitor.monitor_batches(rows, model, features, NUMERIC, path, "2025-06-16 00:00:00", order=("event_id",))
+    fields = """num_drifted_columns long, share_drifted_columns double, missing_values_share double, prediction_drift_score double,
+    prediction_drift_detected boolean, median_current_price double, positive_percent_range double, mean_abs_correlation double, timestamp timestamp"""
+    documents = spark.read.schema(fields).json(f"{path}/documents")
+    kept = stored.select("timestamp", F.col("prediction_drift").alias("stored_drift"), F.col("num_drifted_columns").alias("stored_columns"))
+    both = documents.join(kept, "timestamp")
+    doubles = ("prediction_drift_score", "share_drifted_columns", "missing_values_share", "median_current_price", "mean_abs_correlation", "stored_drift")
+    return plain_time(both.withColumns({c: r6(c) for c in doubles}), "timestamp")
+
+
 @query("append_metrics", f"{ROWS_SQL} SELECT * FROM metrics", "metric_days")
 def append_metrics(spark, sf):
     path, rows = fresh_path(spark, "metrics"), metric_table(spark, sf)

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from typing import Any
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.scalars import bucket_of
 from shelfwise.operators.cleaning import non_constant_columns, reference_slice
 from shelfwise.operators.drift import batch_metrics
+from shelfwise.plans.train import as_vectors
+from shelfwise.session import materialize
+from shelfwise.sources import tables
 
 # Width of a batch in days, last day of the reference slice, and
 # the compared columns of which a metric is reported by name.
@@ -50,6 +55,40 @@ def metric_rows(metrics: DataFrame, first: str) -> DataFrame:
     )
 
 
+# Field names of the metric document.
+DOCUMENT = {
+    "num_drifted_columns": "num_drifted_columns",
+    "share_drifted_columns": "share_drifted_columns",
+    "share_missing_values": "missing_values_share",
+    "prediction_drift": "prediction_drift_score",
+    "prediction_drift_detected": "prediction_drift_detected",
+    "median_current_price": "median_current_price",
+    "positive_percent_range": "positive_percent_range",
+    "mean_abs_corr": "mean_abs_correlation",
+}
+
+
+def metric_documents(metrics: DataFrame, first: str) -> DataFrame:
+    """The full metric document of each batch, one column per field, with its timestamp."""
+    at = F.timestamp_seconds(F.unix_timestamp(F.lit(first).cast("timestamp")) + F.col("bucket") * 60)
+    return metrics.select(*[F.col(c).alias(name) for c, name in DOCUMENT.items()], at.alias("timestamp"))
+
+
+def monitor_batches(
+    rows: DataFrame, model: Any, features: list[str], columns: list[str], path: str, first: str,
+    day: str = "days_after_publish", order: tuple[str, ...] = ("game_id",), raw: DataFrame | None = None,
+) -> DataFrame:
+    """Prepared rows to stored metrics: predict with a loaded model, replay the dated
+    batches against the reference slice, append the metric rows below ``path``/metrics
+    (each timestamp once) and write one JSON document per batch to ``path``/documents.
+    Returns the metric table."""
+    scored = model.transform(as_vectors(rows.drop("prediction"), features)).drop("features")
+    scored = materialize(scored, "predicted")
+    metrics = materialize(replay(scored, scored, columns, day, order, raw=raw), "metrics")
+    tables.write_metrics_json(metric_documents(metrics, first), f"{path}/documents")
+    return tables.append_metrics(metric_rows(metrics, first), f"{path}/metrics")
+
+
 def metric_series(metrics: DataFrame, metric: str) -> DataFrame:
     """A metric over time."""
     return metrics.select(F.col("timestamp").alias("time"), metric).orderBy("time")
