@@ -15,11 +15,12 @@ from shelfwise.llm.language_id import identify
 from shelfwise.llm.minhash_dedup import drop_near_duplicates
 from shelfwise.llm.mixing import mix_sources
 from shelfwise.llm.queries import RANKS, TOKENIZERS
+from shelfwise.llm.registry import reachable
 from shelfwise.llm.substring_dedup import remove_repeats
 from shelfwise.llm.support import Scratch
 from shelfwise.session import configure
 
-LEAST_SCORE = 0.4  # a language's share of a text, at least
+LEAST_SCORE = 0.3  # of the best language; a text that looks like none of them has less
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -75,7 +76,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder; each result is written before the next stage."""
-    scratch = Scratch(configure(spark), "pipeline")
+    scratch = Scratch(configure(reachable(spark)), "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
         out = stage(spark, docs, sf_dir)
