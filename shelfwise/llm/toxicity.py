@@ -15,8 +15,8 @@ SLOTS = 1 << 20  # of the hashed terms
 FACTORS = 4  # of the interactions
 SAMPLE = 6000  # labelled documents of each class that it learns from at most
 LEAST = 3  # documents of the sample a term must occur in
-SIGNIFICANT = 3.5  # standard errors between a term's rates in either class, at least
-EPOCHS = 8
+SIGNIFICANT = 5.0  # standard errors between a term's rates in either class, at least
+EPOCHS = 30
 THRESHOLD = 0.7
 
 #: What separates terms: every ASCII byte but letters and digits.
@@ -71,7 +71,7 @@ class Machine:
         kept = np.append(0, np.cumsum(known))[first]
         return 1 / (1 + np.exp(-np.clip(self.margins(rows[known], kept)[0], -40, 40)))
 
-    def fit(self, texts: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, rate: float = 0.1, ridge: float = 2e-4, batch: int = 128, seed: int = 6) -> None:
+    def fit(self, texts: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, rate: float = 0.3, ridge: float = 1e-5, batch: int = 128, seed: int = 6) -> None:
         """AdaGrad on the log loss with a small ridge, texts in a seeded order."""
         r = np.random.default_rng(seed)
         rows = [self.row[t][self.row[t] > 0] for t in texts]
@@ -113,7 +113,13 @@ def telling_slots(texts: list[np.ndarray], labels: np.ndarray, least: int = LEAS
 
 
 def learn(texts: list[np.ndarray], labels: np.ndarray) -> Machine | None:
-    """A machine from term slots and 0/1 labels; None unless both labels occur."""
+    """A machine from term slots and 0/1 labels; None unless both labels occur.
+
+    Texts with the same terms and label count once, or copies would make their words telling.
+    """
+    different = {(t.tobytes(), int(k)): i for i, (t, k) in reversed(list(enumerate(zip(texts, labels))))}
+    those = sorted(different.values())
+    texts, labels = [texts[i] for i in those], labels[those]
     if len(set(labels.tolist())) < 2:
         return None
     machine = Machine(telling_slots(texts, labels))
