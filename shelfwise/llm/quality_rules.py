@@ -168,23 +168,30 @@ def learn_rules(statistics: DataFrame, labels: DataFrame, id_col: str = "doc_id"
     """Rules for low quality from labelled statistics.
 
     At most ``sample`` labelled rows, the first in the order of a hash of the id,
-    come to the driver: six ratios and a label each. Rows that fail the base rule
+    come to the driver: six ratios and a label each. A cut by hash to about twice as
+    many comes first, so what is ordered stays small. Rows that fail the base rule
     are left out, null labels too. No labelled rows: no rules.
     """
-    marked = labels.select(F.col(id_col), F.col("quality")).where("quality is not null").dropDuplicates([id_col])
+    hashed = F.xxhash64(F.col(id_col).cast("string"))
+    order = F.pmod(hashed, F.lit(1 << 30))
+    known = labels.where("quality is not null")
+    few = order.cast("double") * known.count() <= F.lit(2.0 * sample * (1 << 30))
+    marked = known.where(few).select(F.col(id_col), F.col("quality")).dropDuplicates([id_col])
     rows = (
         statistics.where(~base_failed())
         .join(marked, id_col)
         .select(
+            F.col(id_col),
             *[F.expr(e).alias(m) for m, e in MEASURES.items()],
             (1 - F.col("quality")).cast("int").alias("low"),
-            F.xxhash64(F.col(id_col).cast("string")).alias("_order"),
+            order.alias("_order"),
+            hashed.alias("_hash"),
         )
-        .orderBy("_order")
+        .orderBy("_order", id_col)
         .limit(sample)
         .collect()
     )
-    return cover([{**r.asDict(), "fold": r["_order"] % 3 != 0} for r in rows])
+    return cover([{**r.asDict(), "fold": r["_hash"] % 3 != 0} for r in rows])
 
 
 def judge_quality(
