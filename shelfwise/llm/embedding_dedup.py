@@ -224,6 +224,7 @@ def similar_vectors(
     order = F.struct(F.col(id_col).isNull().alias("absent"), F.col(id_col).alias("id"), F.col("_row").alias("row"))
     all_rows = scratch.keep(all_rows, "all")  # so that a hot component is a plain shuffle on both sides
     least = scratch.keep(all_rows.groupBy("comp").agg(F.min(order).alias("least")), "least")
+    scratch.drop_all_but("all", "least")
     return all_rows.join(least, "comp").select(
         id_col,
         *carry,

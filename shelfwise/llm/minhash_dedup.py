@@ -335,6 +335,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     order = F.struct(F.col(id_col).isNull().alias("absent"), F.col(id_col).alias("id"), F.col("_row").alias("row"))
     there = scratch.keep(there, "placed")
     least = scratch.keep(there.groupBy("comp").agg(F.min(order).alias("least")), "least")
+    scratch.drop_all_but("placed", "least")
     return there.join(least, "comp").select(
         id_col,
         *carry,

@@ -54,6 +54,9 @@ class Scratch:
             path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
             path.getFileSystem(conf).delete(path, True)
 
+    def drop_all_but(self, *names: str) -> None:
+        self.drop(*[name for name in self.paths if name not in names])
+
 
 def row_key(id_col: str, text_col: str = "text") -> list[Column]:
     """Two longs that only rows with equal id and equal text share; never null."""
