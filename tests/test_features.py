@@ -152,7 +152,7 @@ def test_every_family_beats_the_mean(trained):
     guess = evaluation.regression_metrics(evaluation.group_mean_baseline(known, held, "discount_pct", []), "discount_pct", "prediction").first().mae
     trials = [
         train.Trial("RandomForest", {"trees": 20, "depth": 8}), train.Trial("GBT", {"trees": 15, "depth": 4, "leaves": 20}),
-        train.Trial("ExtraTrees", {"trees": 20, "depth": 8}), train.Trial("LinearSVR", {"epsilon": 0.001, "c": 10.0, "steps": 60}),
+        train.Trial("ExtraTrees", {"trees": 20, "depth": 8}), train.Trial("LinearSVR", {"epsilon": 0.001, "c": 10.0}),
     ]
     runs = train.run_trials(known, held, trials)
     assert {r.model_type for r in runs.collect()} == set(train.FAMILIES)
@@ -166,7 +166,7 @@ def test_every_family_beats_the_mean(trained):
 
 def test_linear_svr_model_round_trip(spark, trained, tmp_path):
     _, _, _, known, held = trained
-    model = train.fit_linear_svr(known, steps=10)
+    model = train.fit_linear_svr(known)
     train.save_model(model, str(tmp_path / "svr"), spark)
     assert train.load_model(str(tmp_path / "svr"), "LinearSVR", spark).weights == model.weights
 
@@ -203,3 +203,20 @@ def test_monitoring_frame_has_no_gaps(spark, trained):
 def test_missing_features_are_named(spark):
     with pytest.raises(ValueError, match="b, c"):
         cleaning.require_columns(spark.range(1).withColumnRenamed("id", "a"), ["a", "b", "c"])
+
+
+def test_linear_fit_raises_without_convergence(spark):
+    rows = [(float(i % 7), float(i % 5), (i % 7) / 10 + (i % 5) / 20) for i in range(70)]
+    df = train.as_vectors(spark.createDataFrame(rows, "a double, b double, discount_pct double"), ["a", "b"])
+    with pytest.raises(RuntimeError):
+        train.fit_linear_svr(df, steps=1)
+    model = train.fit_linear_svr(df, epsilon=0.0, c=1000.0)
+    assert max(abs(r.discount_pct - r.prediction) for r in model.transform(df).collect()) < 0.02
+
+
+def test_trials_record_what_is_fitted():
+    drawn = train.sample_trials(40)
+    assert all(t.params.get("depth", 5) <= train.MAX_DEPTH and t == train.used(t) for t in drawn)
+    assert train.used(train.Trial("GBT", {"depth": 9, "leaves": 20})).params == {"depth": 5}
+    with pytest.raises(ValueError):
+        train.used(train.Trial("RandomForest", {"depth": 40}))
