@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.support import mix, pieces, prefix, spans
+from shelfwise.llm.support import mix, pieces, prefix, small_batches, spans
 
 CACHE = 1 << 17  # pre-tokens outside the vocabulary whose ids a worker remembers
 MAX_BYTES = 64 << 20  # of a rank file; it is broadcast
@@ -290,7 +290,7 @@ def load(spark: SparkSession, path: str):
         content = f.read(MAX_BYTES + 1)
     if len(content) > MAX_BYTES:
         raise ValueError(f"{path} is larger than {MAX_BYTES} bytes")
-    return spark.sparkContext.broadcast(Vocabulary(content))
+    return small_batches(spark).sparkContext.broadcast(Vocabulary(content))
 
 
 def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text", carry: tuple = (), with_ids: bool = False) -> DataFrame:
@@ -298,7 +298,7 @@ def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text: str =
 
     Every match of the byte-level pattern is encoded by the ranks in ``path``,
     without special tokens; ids are then decoded again. No shuffle: texts are
-    worked on where they are read, about a megabyte at a time, a longer text as a
+    worked on where they are read, half a megabyte at a time, a longer text as a
     whole. Pre-tokens are cut and looked up in arrays; those outside the vocabulary
     are merged once per step and remembered up to ``CACHE`` per worker.
 

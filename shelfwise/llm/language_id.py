@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shelfwise.llm.support import pieces, share
+from shelfwise.llm.support import pieces, share, small_batches
 
 WINDOW = 256  # bytes the network sees at once
 WIDTHS = (2, 3, 4)  # of its filters
@@ -198,7 +198,7 @@ def identify(
     """
     pairs = training_windows(docs, id_col, text, lang, sample, held, parts)
     rows = sorted((r["_lang"], r["window"]) for r in pairs.collect())
-    shared = docs.sparkSession.sparkContext.broadcast(learn(rows))
+    shared = small_batches(docs.sparkSession).sparkContext.broadcast(learn(rows))
     body = F.coalesce(F.col(text), F.lit(""))
     out = F.coalesce(share(id_col, parts) == held, F.lit(False)).alias("held_out")
     cut = docs.select(F.col(id_col), *carry, out, body.rlike(r"\p{L}").alias("_letters"), body.alias("_text"))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.support import Words, pieces
+from shelfwise.llm.support import Words, pieces, small_batches
 
 SHINGLE = 5
 PERCENT = 75  # of a template's shingles that a window holds, at least
@@ -162,13 +162,13 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, id_col:
     templates of the license, ``first_word`` the place of its first shingle
     (of equal windows the earliest).
 
-    No shuffle; the whole text is read, about a megabyte at a time. The templates
+    No shuffle; the whole text is read, half a megabyte at a time. The templates
     (``MAX_TEMPLATES`` at most) are broadcast.
 
     Null or empty text, or text without notices: no row. Null or repeated ids and
     repeated rows: rows of their own. No rows: no rows. Other columns are not read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(Library(templates))
+    shared = small_batches(docs.sparkSession).sparkContext.broadcast(Library(templates))
     cut = docs.select(F.col(id_col), *carry, F.coalesce(F.col(text), F.lit("")).alias("_text"))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema[:-1]]
     return cut.mapInArrow(_scanned(shared), ", ".join([*fields, "license string", "containment double", "first_word long"]))

@@ -15,10 +15,17 @@ from shelfwise.session import fresh_path
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 
-CHUNK = 1 << 20  # bytes of text that one numpy step holds, unless one text is longer
+BATCH = 8 << 20  # bytes of rows that Spark hands to a Python worker at once, unless one row is longer
+CHUNK = 1 << 19  # bytes of text that one numpy step holds, unless one text is longer
 _SEED = 20240607
 
 
+def small_batches(spark: SparkSession) -> SparkSession:
+    """The session, with Arrow batches bounded by bytes, so that workers stay small however long texts are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
+    return spark
+
+
 class Scratch:
     """Written intermediate tables of one operator run, in the shared folder.
 
@@ -28,7 +35,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, label: str):
-        self.spark, self.label, self.paths = spark, label, {}
+        self.spark, self.label, self.paths = small_batches(spark), label, {}
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = fresh_path(self.spark, f"{self.label}-{name}")

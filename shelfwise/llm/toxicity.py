@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.support import Words, pieces, share
+from shelfwise.llm.support import Words, pieces, share, small_batches
 
 SLOTS = 1 << 20  # of the hashed terms
 FACTORS = 4  # of the interactions
@@ -191,7 +191,7 @@ def score_toxicity(
     rows = training_terms(docs, labels, id_col, text, sample, held, parts).collect()
     rows.sort(key=lambda r: (str(r["_id"]), r["slots"]))
     terms, truth = [np.frombuffer(r["slots"], np.int32) for r in rows], np.array([r["label"] for r in rows])
-    shared = docs.sparkSession.sparkContext.broadcast(learn(terms, truth))
+    shared = small_batches(docs.sparkSession).sparkContext.broadcast(learn(terms, truth))
     out = F.coalesce(share(id_col, parts) == held, F.lit(False)).alias("held_out")
     cut = docs.select(F.col(id_col), *carry, out, F.coalesce(F.col(text), F.lit("")).alias("_text"))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema[:-1]]
