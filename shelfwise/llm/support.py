@@ -13,7 +13,6 @@ from shelfwise.session import fresh_path
 
 #: A word is a run of anything but these six bytes.
 WORD = r"[^\x20\x09-\x0D]+"
-SPACES = " \t\n\x0b\x0c\r"
 
 BATCH = 8 << 20  # bytes of rows that Spark hands to a Python worker at once, unless one row is longer
 CHUNK = 1 << 19  # bytes of text that one numpy step holds, unless one text is longer
