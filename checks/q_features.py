@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.q_listings import COMBINED_SQL, COMBINED_VIEWS, combined_rows, listings
-from checks.registry import d6, d_clean, d_holdout, d_price, d_split, d_words, query, r6
+from checks.registry import d6, d_holdout, d_price, d_split, d_words, query, r6
 from checks.views import view
 from shelfwise.functions import text
 from shelfwise.operators import cleaning, encoding, pricing, reviews, tfidf
