@@ -38,7 +38,8 @@ def aggregate_reviews(
     gives null.
 
     One row per listing, whatever its size, so a listing's text must fit one value
-    (2 GB). ``review_text_parts`` is the form for feeds that may have longer ones.
+    (2 GB). ``review_text_parts`` is the form for feeds that may have longer ones;
+    ``combine`` leaves such listings out before it comes here.
 
     ``prepare`` runs after the one shuffle, so costly cleaning is spread evenly
     however few files the reviews came in.

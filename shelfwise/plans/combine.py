@@ -10,6 +10,9 @@ from shelfwise.functions.text import clean_review
 from shelfwise.operators.cleaning import exclude_free
 from shelfwise.operators.reviews import PART_BYTES, aggregate_reviews, review_text_parts
 from shelfwise.schemas import COMBINED
+from shelfwise.session import materialize
+
+WHOLE_BYTES = 256 * 1024 * 1024  # of the reviews of a listing: up to here their text is also given as one value
 
 
 def cleaned_text(review: Column) -> Column:
@@ -44,17 +47,28 @@ def combine_rows(listings: DataFrame, owners: DataFrame, as_of: str, keep_free:
     ).select("*", "o.*").drop("o")
 
 
-def combine(listings: DataFrame, owners: DataFrame, reviews: DataFrame, as_of: str, keep_free: bool = False) -> DataFrame:
+def combine(
+    listings: DataFrame, owners: DataFrame, reviews: DataFrame, as_of: str, keep_free: bool = False,
+    whole_bytes: int = WHOLE_BYTES,
+) -> DataFrame:
     """Listings with their owner range and review text; free listings left out.
 
-    Exactly one row per combined listing, with all its clean text as one value.
-    Where that may pass 2 GB, take ``combine_rows`` and ``combined_texts`` instead:
-    features are built from these two, never from the joined text.
+    Exactly one row per combined listing, whatever the size of its text. The text is
+    empty without any, and null where the reviews have more than ``whole_bytes``
+    bytes: then only ``combined_texts`` holds it, in parts. Sizes are summed per
+    task before any text moves; cleaning never lengthens a text, so no task gathers
+    more than ``whole_bytes`` of a listing. Readers that need all text take
+    ``combine_rows`` and ``combined_texts``, as the features do.
     """
     rows = combine_rows(listings, owners, as_of, keep_free)
-    texts = aggregate_reviews(reviews, prepare=cleaned_text, name="review")
-    joined = rows.join(texts, "game_id", "left")
-    return joined.select(*[c for c in COMBINED.names if c != "review"], F.coalesce("review", F.lit("")).alias("review"))
+    size = F.sum(F.octet_length("review").cast("bigint") + 1).alias("size")
+    sizes = reviews.where(F.col("game_id").isNotNull()).groupBy("game_id").agg(size)
+    long = materialize(sizes.where(F.col("size") > whole_bytes).select("game_id", F.lit(True).alias("_long")), "long-texts")
+    short = reviews.where(F.col("game_id").isNotNull()).join(long, "game_id", "left_anti")
+    texts = aggregate_reviews(short, prepare=cleaned_text, name="review")
+    joined = rows.join(texts, "game_id", "left").join(long, "game_id", "left")
+    review = F.when(F.col("_long").isNull(), F.coalesce("review", F.lit(""))).alias("review")
+    return joined.select(*[c if c != "review" else review for c in COMBINED.names])
 
 
 def combined_texts(reviews: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:

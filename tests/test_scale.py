@@ -91,6 +91,23 @@ def test_combine_has_one_row_per_listing(spark):
     assert out.where("game_id = 99").first().review == ""
 
 
+def test_combine_keeps_rows_of_listings_with_long_texts(spark):
+    """Long text stays in parts: no task joins more of a listing than the bound, and no row is lost."""
+    listings = spark.createDataFrame(
+        [(g, "n", "1 Jan, 2020", 5, 50, "A", "A", "$5.00", "$4.00") for g in (1, 1, 3, 99)],
+        "game_id bigint, name string, release_date string, total_reviews bigint, positive_percent int, genres string, "
+        "tags string, current_price string, discounted_price string",
+    )
+    owners = spark.createDataFrame([(1, "1 .. 2")], "game_id bigint, owners string")
+    out = combine(listings, owners, hot_feed(spark), "2025-01-01 00:00:00", whole_bytes=400)
+    assert sorted(((r.game_id, r.review) for r in out.collect()), key=str) == [(1, None), (1, None), (3, "only"), (99, "")]
+    parts = combined_texts(hot_feed(spark), part_bytes=400).where("game_id = 1").orderBy("part").collect()
+    whole = reviews.aggregate_reviews(hot_feed(spark)).where("game_id = 1").first().all_reviews
+    assert " ".join(p.review for p in parts) == whole and len(parts) > 3
+    wide = combine(listings, owners, hot_feed(spark), "2025-01-01 00:00:00", whole_bytes=1 << 20)
+    assert wide.where("game_id = 1").first().review == whole
+
+
 def test_latest_reviews_are_cut_before_the_shuffle(spark):
     capped = reviews.cap_reviews(feed(spark), 5)
     plan = capped._jdf.queryExecution().executedPlan().toString()
