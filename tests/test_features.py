@@ -220,3 +220,16 @@ def test_trials_record_what_is_fitted():
     assert train.used(train.Trial("GBT", {"depth": 9, "leaves": 20})).params == {"depth": 5}
     with pytest.raises(ValueError):
         train.used(train.Trial("RandomForest", {"depth": 40}))
+
+
+@pytest.mark.parametrize("name", ["run_trials", "final_model"])
+def test_search_queries_try_twenty_draws(monkeypatch, name):
+    """Draws of every family from inside the search ranges, not fixed settings."""
+    from checks import q_models
+
+    tried = []
+    monkeypatch.setattr(q_models, "vectors", lambda spark, sf: (None, None, None, None))
+    monkeypatch.setattr(train, "run_trials", lambda known, held, trials: tried.extend(trials))
+    monkeypatch.setattr(train, "finalize", lambda known, held, runs: (None, None))
+    getattr(q_models, name)(None, None)
+    assert tried == train.sample_trials(20) and {t.family for t in tried} == set(train.FAMILIES)
