@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfwise.llm.license_scan import TEMPLATES
 from shelfwise.llm.registry import ORACLES, QUERIES, query  # noqa: F401
@@ -197,3 +198,36 @@ def license_scan(spark, sf):
     from shelfwise.llm.license_scan import scan
 
     return scan(table(spark, sf, "documents"))
+
+
+LEAK_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-/:-@\[-`{-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-/:-@\[-`{-\x7F]+') AS w FROM benchmark),
+p AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, unnest(list_transform(range(1, greatest(len(w) - 10, 0) + 2), lambda i: array_to_string(w[i:i + 9], ' '))) AS s
+  FROM b WHERE len(w) > 0),
+g AS (SELECT doc_id, n, unnest(range(0, len(w) - n + 1)) AS i, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS s
+  FROM d, (SELECT DISTINCT n FROM p) WHERE len(w) >= n),
+o AS (SELECT doc_id, item_id, i, g.n AS n FROM g JOIN p ON g.s = p.s AND g.n = p.n),
+h AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM o) GROUP BY doc_id),
+t AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items FROM o GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
+
+@query("op11_decontamination", LEAK_SQL)
+def decontamination(spark, sf):
+    from shelfwise.llm.decontamination import find_passages
+
+    told = find_passages(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return told.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
