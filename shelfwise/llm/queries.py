@@ -231,3 +231,43 @@ def decontamination(spark, sf):
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+#: crc32 of a decimal number as text, for engines without the function.
+CRC_SQL = """list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(({})::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+  lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda v, z: xor(v >> 1, (v & 1) * 3988292384)))"""
+TRIE_SQL = rf"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, xor({CRC_SQL.format("conv_id")}, 4294967295) % 6 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (
+  SELECT c.conv_id, t.i, role, text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 100 AND t.i <= h
+  UNION ALL SELECT c.conv_id, t.i + 10, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND t.i > h),
+s AS (SELECT conv_id, list(sha256(length(role) || ':' || role || text) ORDER BY i) AS l, list(length(text) ORDER BY i) AS z FROM r GROUP BY conv_id),
+a AS (SELECT conv_id, coalesce(l, []) AS l, coalesce(z, []) AS z FROM c LEFT JOIN s USING (conv_id)),
+p AS (SELECT conv_id, unnest(range(0, len(l) + 1)) AS depth, l, z FROM a),
+k AS (SELECT conv_id, depth, array_to_string(l[1:depth], ',') AS key, array_to_string(l[1:depth - 1], ',') AS up, l[1:depth] AS l,
+  CASE WHEN depth > 0 THEN z[depth] ELSE 0 END AS size, depth = len(l) AS ends FROM p),
+n AS (SELECT key, depth, any_value(up) AS up, any_value(l) AS l, min(conv_id) AS conv_id, count(*) AS n, any_value(size) AS size,
+  string_agg(CASE WHEN ends THEN conv_id::VARCHAR END, ',' ORDER BY conv_id) AS ends FROM k GROUP BY key, depth),
+kids AS (SELECT up AS key, depth - 1 AS depth, count(*) AS kids FROM n WHERE depth > 0 GROUP BY 1, 2),
+m AS (SELECT n.*, coalesce(kids, 0) AS kids FROM n LEFT JOIN kids USING (key, depth)),
+e AS (SELECT l, depth, kids, n, size, unnest(range(0, depth + 1)) AS d FROM m),
+u AS (SELECT array_to_string(l[1:d], ',') AS key, d AS depth, count(*) FILTER (kids = 0) AS leaves, sum((n - 1) * size) AS saved FROM e GROUP BY 1, 2)
+SELECT m.conv_id, m.depth::BIGINT AS depth, CASE WHEN m.depth > 0 THEN o.conv_id END AS parent_conv_id, m.n::BIGINT AS n_convs, m.kids::BIGINT AS n_children,
+  leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, sha256(coalesce(m.ends, '')) AS ends_sha256
+FROM m JOIN u ON u.key = m.key AND u.depth = m.depth LEFT JOIN n o ON o.key = m.up AND o.depth = m.depth - 1
+"""
+
+
+@query("op12_prefix_trie", TRIE_SQL)
+def prefix_trie(spark, sf):
+    from shelfwise.llm.prefix_trie import conversation_trie, end_digests, spliced, turn_sequences
+
+    trie = conversation_trie(spliced(turn_sequences(table(spark, sf, "conversations"))))
+    told = trie.nodes.join(end_digests(trie.ends), ["path", "depth"], "left")
+    longs = ["depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens"]
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return told.select("conv_id", *[F.col(c).cast("long").alias(c) for c in longs], F.coalesce("ends_sha256", nothing).alias("ends_sha256"))
