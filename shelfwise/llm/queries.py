@@ -271,3 +271,62 @@ def prefix_trie(spark, sf):
     longs = ["depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens"]
     nothing = F.sha2(F.lit("").cast("binary"), 256)
     return told.select("conv_id", *[F.col(c).cast("long").alias(c) for c in longs], F.coalesce("ends_sha256", nothing).alias("ends_sha256"))
+
+
+REPAIR_SQL = rf"""
+WITH RECURSIVE z AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  xor({CRC_SQL.format("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")}, 4294967295) % 20 AS fate FROM conversations),
+g AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+    CASE fate WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(0, CASE fate WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM z),
+p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text), copy) AS i, role[1] AS ini,
+  rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS ended FROM g),
+q AS (SELECT *, ended = '' AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again, ended[-1] NOT IN ('.', '!', '?') AS cut,
+  lag(ini) OVER (PARTITION BY conv_id ORDER BY i) || ini AS pair FROM p),
+f AS (SELECT *, NOT blank AND again AS dup, NOT blank AND NOT again AND cut AS trunc FROM q),
+t AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (dup) AS duplicate,
+    count(*) FILTER (trunc) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM f GROUP BY conv_id),
+r AS (
+  SELECT conv_id, n AS i, {{'c': 0, 'a': ''}} AS s0, {{'c': 6, 'a': 'II'}} AS s1, {{'c': 3, 'a': 'I'}} AS u, {{'c': 0, 'a': ''}} AS a FROM t
+  UNION ALL
+  SELECT conv_id, i, least(b0, {{'c': 3 + nu.c, 'a': 'I' || nu.a}}), least(b1, {{'c': 3 + nu.c, 'a': 'I' || nu.a}}), nu, least(ba, {{'c': 3 + bu.c, 'a': 'I' || bu.a}})
+  FROM (
+    SELECT *, least(bu, {{'c': 3 + ba.c, 'a': 'I' || ba.a}}) AS nu FROM (
+      SELECT r.conv_id, r.i - 1 AS i,
+        least({{'c': 4 + s0.c, 'a': 'D' || s0.a}}, {{'c': x + CASE ini WHEN 's' THEN s1.c WHEN 'u' THEN u.c ELSE 99999999 END, 'a': 'K' || CASE ini WHEN 's' THEN s1.a ELSE u.a END}},
+          {{'c': 3 + x + u.c, 'a': 'R' || u.a}}) AS b0,
+        least({{'c': 4 + s1.c, 'a': 'D' || s1.a}}, {{'c': x + CASE ini WHEN 'u' THEN u.c ELSE 99999999 END, 'a': 'K' || u.a}}, {{'c': 3 + x + u.c, 'a': 'R' || u.a}}) AS b1,
+        least({{'c': 4 + u.c, 'a': 'D' || u.a}}, {{'c': x + CASE ini WHEN 'a' THEN a.c ELSE 99999999 END, 'a': 'K' || a.a}}, {{'c': 3 + x + a.c, 'a': 'R' || a.a}}) AS bu,
+        least({{'c': 4 + a.c, 'a': 'D' || a.a}}, {{'c': x + CASE ini WHEN 'u' THEN u.c ELSE 99999999 END, 'a': 'K' || u.a}}, {{'c': 3 + x + u.c, 'a': 'R' || u.a}}) AS ba
+      FROM r JOIN (SELECT *, CASE WHEN blank OR dup THEN 99999999 WHEN trunc THEN 3 ELSE 0 END AS x FROM f) f
+        ON f.conv_id IS NOT DISTINCT FROM r.conv_id AND f.i = r.i WHERE r.i > 0))),
+o AS (SELECT conv_id, s0.c::BIGINT AS cost, s0.a AS audit FROM r WHERE i = 0),
+l AS (SELECT conv_id, unnest(string_split(audit, '')) AS e, unnest(range(1, length(audit) + 1)) AS j FROM o WHERE audit <> ''),
+m AS (SELECT *, count(*) FILTER (e <> 'I') OVER w AS i, count(*) FILTER (e <> 'D') OVER w AS nth FROM l WINDOW w AS (PARTITION BY conv_id ORDER BY j)),
+k AS (SELECT m.*, f.role, f.text, max(CASE WHEN nth = 1 AND e = 'K' AND ini = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY m.conv_id) AS sys
+  FROM m LEFT JOIN f ON e <> 'I' AND f.conv_id IS NOT DISTINCT FROM m.conv_id AND f.i = m.i WHERE e <> 'D'),
+y AS (SELECT conv_id, string_agg(CASE WHEN e = 'K' THEN role WHEN (nth - sys) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN e = 'I' THEN '' ELSE text END,
+  chr(10) ORDER BY j) AS lines FROM k GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit,
+  sha256(coalesce(lines, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM c.conv_id
+  LEFT JOIN o ON o.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN y ON y.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+@query("op13_structure_repair", REPAIR_SQL)
+def structure_repair(spark, sf):
+    from shelfwise.llm.structure_repair import damaged, repair_structure, repaired_digests
+
+    turns = table(spark, sf, "conversations")
+    repair = repair_structure(damaged(turns))
+    told, lines = repair.conversations.withColumnRenamed("conv_id", "id"), repaired_digests(repair.rows).withColumnRenamed("id", "line_id")
+    ids = turns.select("conv_id").distinct()
+    joined = ids.join(told, F.col("conv_id").eqNullSafe(F.col("id")), "left").join(lines, F.col("conv_id").eqNullSafe(F.col("line_id")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return joined.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"))
