@@ -6,15 +6,14 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.operators.evaluation import best_trial, regression_metrics
+from shelfwise.operators.evaluation import best_run, best_trial, regression_metrics
+from shelfwise.plans.svr import ROUNDS, LinearSVRModel, Unfinished, fit_linear_svr
 from shelfwise.schemas import RUNS, SEED
 from shelfwise.session import materialize
 
@@ -28,9 +27,6 @@ SEARCH_SPACE = {
     "LinearSVR": {"epsilon": (1e-4, 0.1, "log"), "c": (0.01, 100.0, "log")},
 }
 MAX_DEPTH = 30
-SVR_STEPS = 500  # at most; without convergence the fit is an error
-SVR_TOLERANCE = 1e-6  # relative gain of a step that ends the fit
-SVR_SMOOTH = 0.005  # residual over which the loss bends from flat to linear
 
 
 @dataclass(frozen=True)
@@ -41,113 +37,6 @@ class Trial:
     params: dict = field(default_factory=dict)
 
 
-@dataclass
-class LinearSVRModel:
-    """Weights of the linear fit; the last one is the intercept."""
-
-    weights: list[float]
-    features: str = "features"
-
-    def prediction(self) -> Column:
-        w = F.array(*[F.lit(x) for x in self.weights[:-1]])
-        products = F.zip_with(vector_to_array(self.features), w, lambda x, y: x * y)
-        return F.aggregate(products, F.lit(float(self.weights[-1])), lambda a, b: a + b)
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("prediction", self.prediction())
-
-
-def _loss_sums(data: DataFrame, w: np.ndarray, b: float, epsilon: float) -> tuple[float, np.ndarray]:
-    """(loss, its derivatives by ``w`` and ``b``) summed over rows (i, v, y) of sparse
-    features: one vector per task, merged in a tree."""
-
-    def partial(batches):
-        loss, slopes = 0.0, np.zeros(len(w) + 1)
-        for batch in batches:
-            if not len(batch):
-                continue
-            count = batch["i"].map(len).to_numpy()
-            row, at, value = np.repeat(np.arange(len(batch)), count), np.concatenate(batch["i"].to_list()).astype(int), np.concatenate(batch["v"].to_list())
-            off = batch["y"].to_numpy() - np.bincount(row, value * w[at], len(batch)) - b
-            over = np.maximum(np.abs(off) - epsilon, 0.0)
-            bent = over < SVR_SMOOTH
-            loss += np.where(bent, over * over / (2 * SVR_SMOOTH), over - SVR_SMOOTH / 2).sum()
-            pull = -np.sign(off) * np.where(bent, over / SVR_SMOOTH, 1.0)
-            slopes += np.append(np.bincount(at, value * pull[row], len(w)), pull.sum())
-        yield pd.DataFrame({"g": [np.append(slopes, loss)]})
-
-    merged = data.mapInPandas(partial, "g array<double>").rdd.map(lambda r: np.array(r.g)).treeReduce(lambda x, y: x + y, depth=2)
-    return merged[-1], merged[:-1]
-
-
-def _direction(slope: np.ndarray, moves: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """Quasi-Newton direction from the last moves (change of point, change of slope)."""
-    d, back = -slope, []
-    for step, bend in reversed(moves):
-        a = step @ d / (step @ bend)
-        back.append(a)
-        d = d - a * bend
-    if moves:
-        step, bend = moves[-1]
-        d = d * (step @ bend / (bend @ bend))
-    for (step, bend), a in zip(moves, reversed(back)):
-        d = d + (a - bend @ d / (step @ bend)) * step
-    return d
-
-
-def fit_linear_svr(
-    train: DataFrame, epsilon: float = 0.01, c: float = 1.0, steps: int = SVR_STEPS, label: str = "discount_pct",
-    tolerance: float = SVR_TOLERANCE,
-) -> LinearSVRModel:
-    """Linear fit that ignores errors up to ``epsilon``.
-
-    Minimises ``|w|^2 / (2cn) + mean(max(0, |y - wx - b| - epsilon))`` over standardised
-    features, with the corner of the loss rounded over ``SVR_SMOOTH``, by limited-memory
-    quasi-Newton steps until a step gains less than ``tolerance``; raises if ``steps``
-    do not suffice. Features stay sparse: standardisation is folded into the weights,
-    so a row costs its non-zero entries only.
-    """
-    stats = train.agg(
-        Summarizer.metrics("mean", "std", "count").summary(F.col("features")).alias("s"), F.percentile_approx(label, 0.5).alias("y")
-    ).first()
-    n = stats.s["count"]
-    if not n:
-        raise ValueError("no training rows")
-    mean, spread = stats.s["mean"].toArray(), stats.s["std"].toArray()
-    spread = np.where(spread > 0, spread, 1.0)
-    entries = F.filter(F.transform(vector_to_array("features"), lambda v, i: F.struct(i.alias("i"), v.alias("v"))), lambda e: e["v"] != 0)
-    rows = train.select(entries.alias("e"), F.col(label).cast("double").alias("y"))
-    data = materialize(rows.select(F.col("e.i").alias("i"), F.col("e.v").alias("v"), "y"), "svr")
-
-    def value(p: np.ndarray) -> tuple[float, np.ndarray]:
-        plain = p[:-1] / spread
-        loss, g = _loss_sums(data, plain, p[-1] - plain @ mean, epsilon)
-        slopes = np.append((g[:-1] - g[-1] * mean) / spread, g[-1]) / n
-        slopes[:-1] += p[:-1] / (c * n)
-        return loss / n + p[:-1] @ p[:-1] / (2 * c * n), slopes
-
-    point = np.append(np.zeros(len(mean)), float(stats.y))
-    now, slope = value(point)
-    moves: list[tuple[np.ndarray, np.ndarray]] = []
-    for _ in range(steps):
-        d, length = _direction(slope, moves), 1.0 if moves else min(1.0, 1.0 / (np.abs(slope).sum() + 1e-12))
-        while True:
-            then, bent = value(point + length * d)
-            if then <= now + 1e-4 * length * (slope @ d) or length < 1e-10:
-                break
-            length /= 2
-        gain, step, bend = now - then, length * d, bent - slope
-        if gain <= tolerance * max(abs(now), tolerance):
-            break
-        point, now, slope = point + step, then, bent
-        if step @ bend > 1e-12:
-            moves = [*moves[-9:], (step, bend)]
-    else:
-        raise RuntimeError(f"the linear fit did not converge in {steps} steps")
-    plain = point[:-1] / spread
-    return LinearSVRModel([*map(float, plain), float(point[-1] - plain @ mean)])
-
-
 def used(trial: Trial) -> Trial:
     """The trial with the parameters that are fitted and recorded.
 
@@ -186,7 +75,7 @@ def fit_model(train: DataFrame, trial: Trial, label: str = "discount_pct", seed:
         ).fit(train)
     if trial.family == "LinearSVR":
         return fit_linear_svr(
-            train, float(p.get("epsilon", 0.01)), float(p.get("c", 1.0)), int(p.get("steps", SVR_STEPS)), label
+            train, float(p.get("epsilon", 0.01)), float(p.get("c", 1.0)), int(p.get("steps", ROUNDS)), label
         )
     raise ValueError(trial.family)
 
@@ -212,23 +101,43 @@ def run_row(spark: SparkSession, run_id: str, name: str, trial: Trial, scores: d
 
 
 def run_trials(
-    train: DataFrame, holdout: DataFrame, trials: list[Trial], label: str = "discount_pct", parallelism: int = 2
+    train: DataFrame, holdout: DataFrame, trials: list[Trial], label: str = "discount_pct", parallelism: int = 2,
+    store: str | None = None,
 ) -> DataFrame:
     """Runs table with one row per trial. The vectors are written once and every
-    trial reads them; trials overlap so that small stages do not leave the cluster idle."""
+    trial reads them; trials overlap so that small stages do not leave the cluster idle.
+
+    A fit that does not finish is recorded without metrics, so it is never ranked, and with
+    the gap it reached. With ``store`` every fitted model is saved in a folder of its run
+    there, from which ``stored_model`` loads the best one without another fit.
+    """
     columns = ["features", label]
+    spark = train.sparkSession
     train, holdout = materialize(train.select(*columns), "train"), materialize(holdout.select(*columns), "holdout")
 
     def attempt(numbered: tuple[int, Trial]) -> tuple:
         i, trial = numbered
-        scored = fit_model(train, trial, label).transform(holdout)
-        s = regression_metrics(scored, label, "prediction").first()
-        params = {k: str(v) for k, v in used(trial).params.items()}
-        return (f"trial-{i:04d}", f"search_{trial.family}", trial.family, params, s.rmse, s.mae, s.mape)
+        run, params = f"trial-{i:04d}", {k: str(v) for k, v in used(trial).params.items()}
+        try:
+            model = fit_model(train, trial, label)
+        except Unfinished as e:
+            return (run, f"search_{trial.family}", trial.family, {**params, "unfinished_gap": str(e.gap)}, None, None, None)
+        if store:
+            save_model(model, f"{store}/{run}", spark)
+        s = regression_metrics(model.transform(holdout), label, "prediction").first()
+        return (run, f"search_{trial.family}", trial.family, params, s.rmse, s.mae, s.mape)
 
     with ThreadPoolExecutor(parallelism) as pool:
         rows = list(pool.map(attempt, enumerate(trials)))
-    return train.sparkSession.createDataFrame(rows, RUNS)
+    return spark.createDataFrame(rows, RUNS)
+
+
+def stored_model(runs: DataFrame, store: str, metric: str = "rmse"):
+    """(model, run): the run with the smallest metric and its model as ``run_trials`` stored it."""
+    best = best_run(runs, metric).first()
+    if best is None:
+        raise ValueError(f"no run has {metric}")
+    return load_model(f"{store}/{best.run_id}", best.model_type, runs.sparkSession), best
 
 
 def finalize(train: DataFrame, holdout: DataFrame, runs: DataFrame, label: str = "discount_pct"):
