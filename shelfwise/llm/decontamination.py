@@ -103,7 +103,8 @@ def find_passages(
        the single rarest one, so boilerplate joins nothing unless all of a passage is.
     3. The passage must lie inside the document (its length and the shingle's
        position in it say where). Candidates of one document are put beside its
-       words, and containment is decided on the words themselves.
+       words, and containment is decided on the words themselves. A second filter of
+       the same size keeps documents without candidates where they are.
 
     Only built-in functions. Words of the documents are written once; those of
     documents with candidates move once. A frequent shingle is split by the
@@ -171,7 +172,11 @@ def _occurrences(
         met = met.where(low <= high).withColumn("start", F.explode(F.sequence(low, high)))
     inside = met.where((F.col("start") >= 0) & (F.col("start") + length <= F.col("n_words")))
     at = F.struct("start", "length", "width", "passage")
-    candidates = inside.groupBy("_row").agg(F.collect_set(at).alias("candidates"))
+    candidates = scratch.keep(inside.groupBy("_row").agg(F.collect_set(at).alias("candidates")), "candidates")
+    # only rows that this second filter lets through are moved to their candidates
+    wanted = F.broadcast(scratch.keep(_bit_words(candidates.select(F.xxhash64("_row").alias("h"))), "wanted"))
+    marked = rows.select("_row", "words", F.xxhash64("_row").alias("h")).withColumn("slot", _slot(F.col("h")))
+    texts = marked.join(wanted, "slot").where(may_be).select("_row", "words")
 
     def holds(c: Column) -> Column:
         here = F.slice("words", c["start"] + 1, c["length"])
@@ -180,7 +185,7 @@ def _occurrences(
         theirs, ours = (F.array_distinct(_texts(x, c["length"], c["width"])) for x in (F.split(c["passage"], " "), here))
         return F.size(F.array_intersect(theirs, ours)) >= _least(F.size(theirs), containment)
 
-    sure = candidates.join(rows.select("_row", "words"), "_row").select("_row", F.filter("candidates", holds).alias("sure"))
+    sure = candidates.join(texts, "_row").select("_row", F.filter("candidates", holds).alias("sure"))
     places = F.flatten(F.transform("sure", lambda c: F.sequence(c["start"], c["start"] + c["length"] - 1)))
     hits = sure.where(F.size("sure") > 0).select(
         "_row",
