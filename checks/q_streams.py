@@ -14,7 +14,7 @@ from shelfwise.operators import drift
 from shelfwise.plans import monitor
 from shelfwise.session import fresh_path
 from shelfwise.sources.tables import replace_files
-from shelfwise.streaming import feeds
+from shelfwise.streaming import capped, feeds
 
 
 def stream_of(spark, sf, name, per_trigger=None):
@@ -48,6 +48,28 @@ def stream_dedup_reviews(spark, sf):
     return out.withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
 
 
+@query(
+    "stream_capped_reviews",
+    """SELECT game_id, created_at, review FROM (
+      SELECT *, row_number() OVER (PARTITION BY game_id ORDER BY created_at DESC, sha256(review)) AS nth FROM (
+        SELECT DISTINCT conv_id // 3 AS game_id, make_timestamp((1700000000 + (conv_id * 7919 + turn // 2 * 104729) % 5000) * 1000000) AS created_at, text AS review
+        FROM conversations) r) x WHERE nth <= 5""",
+)
+def stream_capped_reviews(spark, sf):
+    """Every review fetched twice, in several batches that are not in the order of time."""
+    rows = table(spark, sf, "conversations")
+    when = 1700000000 + (F.col("conv_id") * 7919 + F.floor(F.col("turn") / 2) * 104729) % 5000
+    twice = rows.select(
+        F.floor(F.col("conv_id") / 3).alias("game_id"), F.timestamp_seconds(when).alias("created_at"),
+        F.col("text").alias("review"), "turn", F.explode(F.sequence(F.lit(0), F.lit(1))).alias("fetch"),
+    )
+    path = fresh_path(spark, "reviews")
+    twice.repartition(3, "turn", "fetch").drop("turn", "fetch").write.parquet(path)
+    stream = feeds.read_stream(spark, path, twice.drop("turn", "fetch").schema, per_trigger=1)
+    left = capped.current_reviews(capped.run_capped(capped.capped_reviews(stream)))
+    return left.withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
+
+
 @query(
     "stream_progressive_output",
     "SELECT event_id, event_type, value FROM events",
