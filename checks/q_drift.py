@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.q_listings import COMBINED_SQL, COMBINED_VIEWS, combined
 from checks.registry import d6, d_hash, d_price, query, r6
-from checks.views import view
+from checks.views import table, view
 from shelfwise.functions.scalars import bucket_of
 from shelfwise.operators import cleaning, drift, synthetic
 from shelfwise.plans import monitor, train
@@ -394,3 +394,49 @@ def synthesize_drift(spark, sf):
     rows = synthetic.synthesize_drift(rows, tie=("name", "total_reviews", "owners"))
     review = F.when(~F.col("in_parts"), F.col("review")).alias("review")
     return rows.select("game_id", "name", "days_after_publish", "current_price", "tags", "positive_percent", review)
+
+
+#: Suppliers against the customers of each market segment: a balance, the region, and whether in debt.
+BALANCES = ["balance", "region", "in_debt"]
+_ERFC = "list_reduce(list_concat([0.0::DOUBLE], list_reverse(range(1, 400))::DOUBLE[]), lambda c, k: k / 2.0 / ({x} + c))"
+P_SQL = f"""
+WITH r AS (SELECT s_acctbal AS balance, n_regionkey AS region, CAST(s_acctbal < 0 AS INT) AS in_debt FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+g AS (SELECT dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS bucket, c_acctbal AS balance, n_regionkey AS region, CAST(c_acctbal < 0 AS INT) AS in_debt
+  FROM customer JOIN nation ON c_nationkey = n_nationkey),
+b AS (SELECT DISTINCT bucket FROM g), nn AS (SELECT count(*) AS n FROM r), mm AS (SELECT bucket, count(*) AS m FROM g GROUP BY bucket),
+v AS (SELECT bucket, balance AS x, 1 AS ref, 0 AS cur FROM r, b UNION ALL SELECT bucket, balance, 0, 1 FROM g),
+w AS (SELECT bucket, x, sum(sum(ref)) OVER o AS cr, sum(sum(cur)) OVER o AS cc FROM v GROUP BY bucket, x WINDOW o AS (PARTITION BY bucket ORDER BY x)),
+k AS (SELECT bucket, n, m, max(abs(cr * m - cc * n)) AS reach, max(abs(cr / n - cc / m)) AS d FROM w JOIN mm USING (bucket), nn GROUP BY bucket, n, m),
+e AS (SELECT bucket, d, list_reduce(list_concat([list_transform(range(0, least(n, m) + 1), lambda i: CASE WHEN i = 0 THEN 1.0::DOUBLE ELSE 0.0 END)],
+    list_transform(range(1, n + m + 1), lambda s: [s::DOUBLE])), lambda f, s: list_transform(range(0, least(n, m) + 1), lambda i:
+      CASE WHEN s[1] - i BETWEEN 0 AND greatest(n, m) AND abs(i * greatest(n, m) - (s[1] - i) * least(n, m)) < reach
+      THEN (CASE WHEN i > 0 THEN f[i] ELSE 0 END * i + f[i + 1] * (s[1] - i)) / s[1] ELSE 0.0 END))[-1] AS stay FROM k),
+c AS (SELECT bucket, region, (SELECT count(*) FROM r WHERE r.region = g.region) AS a, count(*) AS o FROM g GROUP BY bucket, region),
+q AS (SELECT bucket, sum(power(o - a * m / n::DOUBLE, 2) / (a * m / n::DOUBLE)) AS x FROM c JOIN mm USING (bucket), nn GROUP BY bucket),
+t AS (SELECT bucket, (SELECT sum(in_debt) FROM r) AS p1, sum(in_debt) AS p2, any_value(n) AS n, any_value(m) AS m FROM g JOIN mm USING (bucket), nn GROUP BY bucket),
+z AS (SELECT bucket, abs(p1 / n - p2 / m) / sqrt((p1 + p2) / (n + m) * (1 - (p1 + p2) / (n + m)) * (1.0 / n + 1.0 / m)) / sqrt(2.0) AS y FROM t),
+j AS (SELECT bucket, y, CASE WHEN y < 2 THEN 1 - 2 / sqrt(pi()) * list_sum(list_transform(range(0, 60), lambda k: power(-1, k) * power(y, 2 * k + 1) / (gamma(k + 1.0) * (2 * k + 1))))
+  ELSE exp(-y * y) / sqrt(pi()) / (y + {_ERFC.format(x="y")}) END AS p FROM z)
+SELECT bucket::BIGINT AS bucket, 'balance' AS column_name, 'ks' AS test, round(1 - stay, 6) + 0.0 AS p_value, 1 - stay < 0.05 AS drifted FROM e
+UNION ALL SELECT bucket, 'region', 'chi_square', round(exp(-x / 2) * (1 + x / 2), 6) + 0.0, exp(-x / 2) * (1 + x / 2) < 0.05 FROM q
+UNION ALL SELECT bucket, 'in_debt', 'z', round(p, 6) + 0.0, p < 0.05 FROM j
+"""
+
+
+@query("drift_p_values", P_SQL)
+def drift_p_values(spark, sf):
+    """Suppliers as a small reference: every test with its p-value."""
+    nations = table(spark, sf, "nation").select("n_nationkey", F.col("n_regionkey").alias("region"))
+
+    def side(name, prefix, *keep):
+        rows = table(spark, sf, name).join(nations, F.col(f"{prefix}_nationkey") == F.col("n_nationkey"))
+        balance = F.col(f"{prefix}_acctbal")
+        return rows.select(*keep, balance.cast("double").alias("balance"), "region", (balance < 0).cast("int").alias("in_debt"))
+
+    customers = side("customer", "c", F.col("c_mktsegment").alias("segment"))
+    segments = customers.select("segment").distinct()
+    before = segments.select(F.col("segment").alias("other"))
+    places = segments.join(before, F.col("other") < F.col("segment"), "left").groupBy("segment").agg(F.count("other").alias("bucket"))
+    current = customers.join(F.broadcast(places), "segment")  # five segments
+    told = drift.with_p_values(drift.numeric_drift(side("supplier", "s"), current, BALANCES, "bucket"))
+    return told.select("bucket", "column_name", "test", r6("p_value").alias("p_value"), F.col("drifted_by_p").alias("drifted"))

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.metrics import population_corr
+from shelfwise.functions.survival import chi_square_tail, distance_tail, normal_tails
 from shelfwise.operators.ranks import exact_quantile, running_totals
 from shelfwise.session import materialize
 
@@ -33,6 +34,7 @@ FEW_VALUES = 5
 TWO_VALUES = 2
 DATASET_SHARE = 0.5
 MIN_SPREAD = 0.001
+P_LEVEL = 0.05
 
 
 def contiguous_buckets(buckets: DataFrame, column: str = "bucket") -> DataFrame:
@@ -255,6 +257,33 @@ def category_drift(
     return _verdict(stats, numeric=False)
 
 
+def with_p_values(column_drift: DataFrame, level: float = P_LEVEL) -> DataFrame:
+    """Rows of ``numeric_drift`` or ``category_drift`` with p_value, drift_score and drifted_by_p.
+
+    ``p_value``: how likely a test statistic at least this large is without drift: both
+    tails of the normal for z, the chi-square tail, the exact two-sample distance for samples
+    of up to a million pairs and its limit beyond. Null for distances. Values that the
+    reference lacks make a chi-square p-value 0; a statistic that cannot be formed has none.
+    ``drift_score`` is the p-value of a test or the distance; a p-value below ``level``
+    or a distance of at least its limit is drift.
+    """
+    test = F.col("test")
+    freedom = F.greatest(F.col("n_distinct") - 1, F.lit(1))
+    tail = F.when(F.col("new_values") > 0, F.lit(0.0)).otherwise(chi_square_tail(F.col("chi_square"), freedom))
+    p = F.when(test == "z", normal_tails(F.col("z_score"))).when(test == "chi_square", tail)
+    if "ks_distance" in column_drift.columns:
+        p = p.when(test == "ks", distance_tail(F.col("ks_distance"), F.col("ref_rows"), F.col("cur_rows")))
+    distance = test.isin("js", "wasserstein")
+    return (
+        column_drift.withColumn("p_value", p)
+        .withColumn("drift_score", F.when(distance, F.col("score")).otherwise(F.col("p_value")))
+        .withColumn(
+            "drifted_by_p",
+            F.coalesce(F.when(distance, F.col("score") >= F.col("limit")).otherwise(F.col("p_value") < level), F.lit(False)),
+        )
+    )
+
+
 def dataset_drift(column_drift: DataFrame) -> DataFrame:
     """Per batch: number and share of drifted columns and the dataset flag."""
     drifted = F.sum(F.col("drifted").cast("bigint"))
