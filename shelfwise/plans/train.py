@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.operators.evaluation import best_run, best_trial, regression_metrics
+from shelfwise.plans.extra_trees import ExtraTreesModel, fit_extra_trees
 from shelfwise.plans.svr import ROUNDS, LinearSVRModel, Unfinished, fit_linear_svr
 from shelfwise.schemas import RUNS, SEED
 from shelfwise.session import materialize
@@ -42,7 +43,7 @@ def used(trial: Trial) -> Trial:
 
     Boosting grows by level, so a leaf limit is the depth that holds that many
     leaves. A minimum split of n becomes a minimum leaf of
-    n/2 on fitting. Depths beyond Spark's limit are refused.
+    n/2 when a random forest is fitted. Depths beyond Spark's limit are refused.
     """
     p = dict(trial.params)
     if trial.family == "GBT" and "leaves" in p:
@@ -53,9 +54,7 @@ def used(trial: Trial) -> Trial:
 
 
 def fit_model(train: DataFrame, trial: Trial, label: str = "discount_pct", seed: int = SEED):
-    """Fit one family with the parameters of ``used(trial)``. ExtraTrees is
-    approximated by unsampled trees over a third of the features with few split
-    candidates (Spark has no random thresholds)."""
+    """Fit one family with the parameters of ``used(trial)``."""
     p = used(trial).params
     depth, leaf = int(p.get("depth", 5)), max(1, int(p.get("min_split", 2)) // 2)
     common = dict(featuresCol="features", labelCol=label, seed=seed)
@@ -65,10 +64,7 @@ def fit_model(train: DataFrame, trial: Trial, label: str = "discount_pct", seed:
             featureSubsetStrategy="all", **common,
         ).fit(train)
     if trial.family == "ExtraTrees":
-        return RandomForestRegressor(
-            numTrees=int(p.get("trees", 100)), maxDepth=depth, minInstancesPerNode=leaf, bootstrap=False,
-            featureSubsetStrategy="onethird", maxBins=8, **common,
-        ).fit(train)
+        return fit_extra_trees(train, int(p.get("trees", 100)), depth, int(p.get("min_split", 2)), label, seed)
     if trial.family == "GBT":
         return GBTRegressor(
             maxIter=int(p.get("trees", 100)), maxDepth=depth, stepSize=float(p.get("rate", 0.1)), **common
@@ -151,7 +147,9 @@ def finalize(train: DataFrame, holdout: DataFrame, runs: DataFrame, label: str =
 
 def save_model(model, path: str, spark: SparkSession) -> None:
     """Store any of the four families."""
-    if isinstance(model, LinearSVRModel):
+    if isinstance(model, ExtraTreesModel):
+        model.save(path, spark)
+    elif isinstance(model, LinearSVRModel):
         weights = spark.createDataFrame([(model.weights,)], "weights array<double>")
         weights.write.mode("overwrite").parquet(path)
     else:
@@ -161,6 +159,8 @@ def save_model(model, path: str, spark: SparkSession) -> None:
 def load_model(path: str, family: str, spark: SparkSession):
     if family == "LinearSVR":
         return LinearSVRModel(list(spark.read.parquet(path).first().weights))
+    if family == "ExtraTrees":
+        return ExtraTreesModel.load(path, spark)
     return PipelineModel.load(path)
 
 
