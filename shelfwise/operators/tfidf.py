@@ -21,6 +21,9 @@ from shelfwise.session import materialize
 
 MAX_FEATURES = 1000
 CHUNK = 512  # documents multiplied at a time within a task
+MAX_STEPS = 200  # scans of the documents; no fit within them is an error
+TIE = 1e-9  # relative distance up to which singular values squared count as equal
+LEXICON_ROWS = 1 << 17  # a lexicon of at most so many words is sent to every task
 
 
 def tokens(texts: DataFrame, text: str, *keep: str) -> DataFrame:
@@ -122,17 +125,12 @@ def _pulled(vectors: DataFrame, block: np.ndarray) -> np.ndarray:
     return out
 
 
-def principal_direction(
-    vectors: DataFrame, width: int, steps: int = 12, tolerance: float | None = 1e-7, extra: int = 7
-) -> np.ndarray:
-    """First right-singular vector of the document vectors by subspace iteration.
+class Unconverged(RuntimeError):
+    """The scans did not suffice for the leading direction."""
 
-    Each step is one scan and one small aggregate; the driver holds ``1 + extra``
-    vectors of ``width`` numbers. ``extra`` directions speed up convergence when the
-    leading singular values lie close together (texts in several languages); 0 is
-    the plain power method. All weights are non-negative, which fixes the sign.
-    """
-    sides = min(1 + extra, width)
+
+def _power_steps(vectors: DataFrame, width: int, steps: int, sides: int) -> np.ndarray:
+    """The direction after exactly ``steps`` scans of subspace iteration, converged or not."""
     draw = np.random.default_rng(0)
     block = np.column_stack([np.ones(width), *(draw.standard_normal(width) for _ in range(sides - 1))])
     lead = block[:, 0] / math.sqrt(width)
@@ -142,24 +140,72 @@ def principal_direction(
         # Best direction within the block (Rayleigh-Ritz), then one step further.
         _, mix = np.linalg.eigh(block.T @ pulled)
         block = pulled @ mix[:, ::-1]
-        new = block[:, 0]
-        norm = np.linalg.norm(new)
+        norm = np.linalg.norm(block[:, 0])
         if norm == 0:
             return np.zeros(width)
-        new = new / norm * (1.0 if new.sum() >= 0 else -1.0)
-        moved, lead = np.abs(new - lead).max(), new
-        if tolerance is not None and moved < tolerance:
-            break
+        lead = block[:, 0] / norm * (1.0 if block[:, 0].sum() >= 0 else -1.0)
     return lead
 
 
+def principal_direction(
+    vectors: DataFrame, width: int, steps: int = MAX_STEPS, tolerance: float | None = 1e-7, extra: int = 7
+) -> np.ndarray:
+    """First right-singular vector of the document vectors, certified; ``Unconverged`` beyond ``steps`` scans.
+
+    Block Lanczos: each scan multiplies ``1 + extra`` new directions, which are kept
+    orthogonal to all before them; the best direction is sought among all of these. The
+    residual of the equation that it should solve, divided by the distance to the next
+    singular value (squared), bounds its angle to the true one, and the search ends when
+    that is at most ``tolerance``. Directions that share the largest value count as one: the
+    one nearest to equal weights is taken. After ``width / (1 + extra)`` scans the
+    directions span everything, so values lying close together cost scans, not accuracy.
+    The driver holds at most ``2 * width`` directions of ``width`` (at most ``max_features``)
+    numbers. All weights are non-negative, which fixes the sign; without any, zeros.
+
+    ``tolerance=None`` is plain subspace iteration of exactly ``steps`` scans.
+    """
+    sides = min(1 + extra, width)
+    if tolerance is None:
+        return _power_steps(vectors, width, steps, sides)
+    draw, ones = np.random.default_rng(0), np.ones(width)
+    block = np.column_stack([ones, *(draw.standard_normal(width) for _ in range(sides - 1))])
+    basis, pulled = np.zeros((width, 0)), np.zeros((width, 0))
+    angle = math.inf
+    for _ in range(steps):
+        for _ in range(2):  # once more for the rounding of the first time
+            block = block - basis @ (basis.T @ block)
+            size = np.linalg.norm(block, axis=0)
+            block = block[:, size > 1e-10 * max(float(size.max(initial=0.0)), 1e-300)]
+            block, triangle = np.linalg.qr(block)
+            block = block[:, np.abs(np.diag(triangle)) > 1e-10]
+        block = block[:, : width - basis.shape[1]]
+        fresh = _pulled(vectors, block)
+        basis, pulled = np.column_stack([basis, block]), np.column_stack([pulled, fresh])
+        inner = basis.T @ pulled
+        values, mix = np.linalg.eigh((inner + inner.T) / 2)
+        top = values[-1]
+        if top <= 0:
+            return np.zeros(width)
+        shared = values >= top * (1 - TIE)
+        found = basis @ mix[:, shared]
+        residual = np.linalg.norm(pulled @ mix[:, shared] - found * values[shared], axis=0).max()
+        rest = values[~shared].max(initial=0.0)
+        angle = residual / (top - rest)
+        if angle <= tolerance or basis.shape[1] == width:
+            lead = found @ (found.T @ ones) if shared.sum() > 1 else found[:, 0]
+            lead = lead if np.linalg.norm(lead) > 1e-12 else found[:, 0]
+            return lead / np.linalg.norm(lead) * (1.0 if lead.sum() >= 0 else -1.0)
+        block = fresh
+    raise Unconverged(f"the leading direction is known to an angle of {angle:.2g} after {steps} scans")
+
+
 def fit_review_score(
     texts: DataFrame,
     key: str = "game_id",
     text: str = "review",
     copies: DataFrame | None = None,
     max_features: int = MAX_FEATURES,
-    steps: int = 12,
+    steps: int = MAX_STEPS,
     tolerance: float | None = 1e-7,
     extra: int = 7,
 ) -> DataFrame:
@@ -204,12 +250,17 @@ def lexicon_sentiment(
     """Rows (key, sentiment): mean weight of the words found in the lexicon (term,
     weight), 0 without any.
 
-    Words are counted by (key, term) before they are shuffled, the lexicon is
-    written so that the planner knows its size, and only counts that meet it go on.
+    One scan splits the texts. A lexicon of at most ``LEXICON_ROWS`` words, counted once
+    written, goes to every task, so of the words only a sum and a count per key are shuffled. With a
+    larger one the words are counted by (key, term) first and counts that meet it go on.
+    Keys whose texts have no words, or none at all, have 0; a null key is a key.
     """
     known = materialize(lexicon.select("term", "weight").where("weight is not null"), "lexicon")
-    counts = count_terms(reviews, key, text).join(known, "term")
-    found = counts.groupBy(key).agg((F.sum(F.col("n") * F.col("weight")) / F.sum("n")).alias("_mean"))
-    keys = reviews.select(F.col(key).alias("_key")).distinct()
-    told = keys.join(found, F.col("_key").eqNullSafe(F.col(key)), "left")
-    return told.select(F.col("_key").alias(key), F.coalesce("_mean", F.lit(0.0)).alias(name))
+    split = reviews.select(key, F.explode_outer(words(text)).alias("term"))
+    if known.count() <= LEXICON_ROWS:
+        met, times = split.join(F.broadcast(known), "term", "left"), F.lit(1)
+    else:
+        counted = split.groupBy(key, "term").agg(F.count("*").alias("n"))
+        met, times = counted.join(known, "term", "left"), F.col("n")
+    mean = F.try_divide(F.sum(F.col("weight") * times), F.sum(F.when(F.col("weight").isNotNull(), times)))
+    return met.groupBy(key).agg(F.coalesce(mean, F.lit(0.0)).alias(name))

@@ -48,7 +48,7 @@ class ReviewScore(Estimator, HasInputCol, HasOutputCol):
     """Learns term weights and the main direction of the texts in ``inputCol``."""
 
     def __init__(self, inputCol: str = "review", outputCol: str = "review_score", key: str = "game_id",
-                 max_features: int = tfidf.MAX_FEATURES, steps: int = 12) -> None:
+                 max_features: int = tfidf.MAX_FEATURES, steps: int = tfidf.MAX_STEPS) -> None:
         super().__init__()
         self._set(inputCol=inputCol, outputCol=outputCol)
         self.key, self.max_features, self.steps = key, max_features, steps

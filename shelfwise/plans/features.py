@@ -58,7 +58,7 @@ def review_texts(combined: DataFrame) -> DataFrame:
     return combined.where(F.col("review") != "").dropDuplicates(["game_id"]).select("game_id", "review")
 
 
-def fit_state(frame: DataFrame, texts: DataFrame, max_terms: int = tfidf.MAX_FEATURES, steps: int = 12) -> FeatureState:
+def fit_state(frame: DataFrame, texts: DataFrame, max_terms: int = tfidf.MAX_FEATURES, steps: int = tfidf.MAX_STEPS) -> FeatureState:
     """Fit on the given frame: pass all rows, or the training rows only to keep the
     hold-out unseen. ``texts`` may be single reviews; they are never joined up."""
     terms = tfidf.fit_review_score(
@@ -107,7 +107,7 @@ class NumberScaler:
 
 def training_frame(
     combined: DataFrame, texts: DataFrame | None = None, fit_on: str = "all", max_terms: int = tfidf.MAX_FEATURES,
-    steps: int = 12, seed: int = SEED,
+    steps: int = tfidf.MAX_STEPS, seed: int = SEED,
 ) -> tuple[DataFrame, FeatureState]:
     """(frame with features and target, fitted state); rows without a target left out.
 
