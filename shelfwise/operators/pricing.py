@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.operators.ranks import approx_quantile, exact_quantile
+from shelfwise.session import materialize
 
 
 def exploded(df: DataFrame, column: str, name: str, *keep: str) -> DataFrame:
@@ -23,7 +24,8 @@ def tag_median_prices(
 
 def per_list(df: DataFrame, column: str) -> DataFrame:
     """Distinct item lists. Work done per distinct list and joined back needs no
-    row id, and a list shared by a third of the rows is handled once."""
+    row id, and a list shared by a third of the rows is handled once. What is joined back
+    is written before: a join of two plain shuffles, which the runtime splits at hot lists."""
     return df.select(column).where(F.col(column).isNotNull()).distinct()
 
 
@@ -43,6 +45,7 @@ def competitor_price(
         .groupBy(tags)
         .agg(F.avg("median_price").alias(name))
     )
+    means = materialize(means, "list-means")
     fallback = exact_quantile(df, [], price).scalar()
     return df.join(means, tags, "left").select(*df.columns, F.coalesce(F.col(name), fallback).alias(name))
 
@@ -57,6 +60,7 @@ def restrict_to_vocabulary(df: DataFrame, column: str, vocabulary: DataFrame, it
         .agg(F.array_sort(F.collect_list(F.struct("_pos", item))).alias("_kept"))
         .select(column, F.col(f"_kept.{item}").alias("_kept"))
     )
+    known = materialize(known, "known-items")
     kept = F.when(F.col(column).isNotNull(), F.coalesce("_kept", F.array().cast("array<string>")))
     return df.join(known, column, "left").select(
         *[kept.alias(c) if c == column else F.col(c) for c in df.columns]

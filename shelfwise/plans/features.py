@@ -127,13 +127,8 @@ def training_frame(
     return add_features(frame, texts, state), state
 
 
-def scoring_frame(rows: DataFrame, texts: DataFrame, state: FeatureState) -> DataFrame:
-    """Features of new raw rows (as ``combine_rows`` gives them), one row per row.
-
-    No target is needed and no row is dropped: prices that do not parse and missing
-    numbers become 0, missing lists are empty, and items that no vocabulary holds are
-    ignored. State comes from the training rows, as it was saved.
-    """
+def raw_numbers(rows: DataFrame) -> DataFrame:
+    """Raw rows with prices and numbers as numbers (0 where there is none) and lists of items."""
     frame = rows.withColumns(
         {
             "current_price": parse_price("current_price"),
@@ -142,7 +137,17 @@ def scoring_frame(rows: DataFrame, texts: DataFrame, state: FeatureState) -> Dat
         }
     )
     numbers = [c for c in encoding.NUMERIC_FEATURES if c in frame.columns]
-    frame = cleaning.sanitize(frame.drop("discounted_price"), *numbers)
+    return cleaning.sanitize(frame.drop("discounted_price"), *numbers)
+
+
+def scoring_frame(rows: DataFrame, texts: DataFrame, state: FeatureState) -> DataFrame:
+    """Features of new raw rows (as ``combine_rows`` gives them), one row per row.
+
+    No target is needed and no row is dropped: prices that do not parse and missing
+    numbers become 0, missing lists are empty, and items that no vocabulary holds are
+    ignored. State comes from the training rows, as it was saved.
+    """
+    frame = raw_numbers(rows)
     for column, vocab in (("genres", state.genres), ("tags", state.tags)):
         frame = pricing.restrict_to_vocabulary(frame, column, vocab)
     return add_features(materialize(frame, "new-rows"), texts, state)

@@ -4,12 +4,12 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from shelfwise.operators import cleaning, encoding, evaluation, pricing, tfidf
 from shelfwise.plans import features, train
-from shelfwise.plans.estimators import CompetitorPricing, CompetitorPricingModel, DropColumns, ReviewScore, ReviewScoreModel
+from shelfwise.plans.estimators import CompetitorPricing, CompetitorPricingModel, DropColumns, ReviewScore, ReviewScoreModel, scoring_pipeline
 
 
 def tagged(spark, rows):
@@ -59,7 +59,7 @@ def test_split_is_disjoint_and_repeatable(spark):
     assert {r[0] for r in held.collect()} == {r[0] for r in encoding.split(df.repartition(5))[1].collect()}
 
 
-REVIEWS = ["This is great", "Bad game", "Loved it", "", "great great game loved by all", "this game is bad bad"]
+REVIEWS = ["quiet puzzle, fair price", "crashes at sunset", "fair music", "", "quiet quiet evenings and fair music for everyone", "crashes crashes and dull music"]
 
 
 def text_frame(spark):
@@ -111,8 +111,8 @@ def test_repeated_listings_count_as_documents(spark):
     df = text_frame(spark)
     copies = tfidf.document_copies(df.unionAll(df.where("game_id = 0")), "game_id")
     terms = {r.term: r for r in tfidf.fit_review_score(df, copies=copies).collect()}
-    assert (terms["this"].df, terms["this"].tf) == (3, 3)
-    assert terms["this"].idf == pytest.approx(math.log(8 / 4) + 1)
+    assert (terms["quiet"].df, terms["quiet"].tf) == (3, 4)
+    assert terms["quiet"].idf == pytest.approx(math.log(8 / 4) + 1)
 
 
 def combined_rows(spark, n=300):
@@ -193,6 +193,38 @@ def test_estimators_in_a_pipeline(spark, tmp_path):
     assert sorted(r.review_score for r in same.collect()) == pytest.approx(sorted(r.review_score for r in out.collect()))
 
 
+def test_estimators_are_stored_by_the_pipeline(spark, tmp_path):
+    df = spark.createDataFrame([(i % 5, ["A", "B"][: i % 3], float(i), REVIEWS[i % 5]) for i in range(12)], "game_id bigint, tags array<string>, current_price double, review string")
+    pipeline = Pipeline(stages=[ReviewScore(max_features=50), CompetitorPricing(outputCol="others"), DropColumns("review", "absent")])
+    pipeline.write().save(str(tmp_path / "unfitted"))
+    model = Pipeline.load(str(tmp_path / "unfitted")).fit(df)
+    model.write().save(str(tmp_path / "fitted"))
+    again = PipelineModel.load(str(tmp_path / "fitted"))
+    assert [s.uid for s in again.stages] == [s.uid for s in model.stages] and again.stages[1].getOutputCol() == "others"
+    one, two = (sorted(map(str, m.transform(df).collect())) for m in (model, again))
+    assert one == two and "others" in model.transform(df).columns
+
+
+def test_copies_of_a_listing_count_in_the_fitted_score(spark):
+    rows = [(1, REVIEWS[0]), (2, REVIEWS[1]), (3, REVIEWS[4])]
+    once, thrice = (spark.createDataFrame(rows + [rows[2]] * n, "game_id bigint, review string") for n in (0, 2))
+    states = [{r.term: r for r in ReviewScore().fit(df).state.collect()} for df in (once, thrice)]
+    assert (states[0]["quiet"].tf, states[0]["quiet"].df) == (3, 2) and (states[1]["quiet"].tf, states[1]["quiet"].df) == (7, 4)
+    assert states[1]["quiet"].direction > states[0]["quiet"].direction
+
+
+@pytest.mark.parametrize("family,params", [("LinearSVR", {}), ("ExtraTrees", {"trees": 5, "depth": 4}), ("RandomForest", {"trees": 5, "depth": 4})])
+def test_one_saved_pipeline_scores_raw_rows(spark, trained, tmp_path, family, params):
+    _, state, fitted, known, _ = trained
+    model = train.fit_model(known, train.Trial(family, params))
+    raw = combined_rows(spark)
+    scoring_pipeline(state, fitted, family, model).write().save(str(tmp_path / "p"))
+    got = {r.game_id: r.prediction for r in PipelineModel.load(str(tmp_path / "p")).transform(raw).collect()}
+    ready = features.scoring_frame(features.listing_rows(raw), features.review_texts(raw), state)
+    wanted = {r[0]: r[1] for r in train.score(ready, fitted, model).collect()}
+    assert got.keys() == wanted.keys() and all(got[k] == pytest.approx(wanted[k]) for k in got)
+
+
 def test_monitoring_frame_has_no_gaps(spark, trained):
     _, state, *_ = trained
     frame = features.monitoring_frame(combined_rows(spark), features.review_texts(combined_rows(spark)), state, wide=True)
