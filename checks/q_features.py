@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.q_listings import COMBINED_SQL, COMBINED_VIEWS, combined_rows, listings
+from checks.q_listings import _COMPLETE, COMBINED_SQL, COMBINED_VIEWS, combined_rows, listings
 from checks.registry import d6, d_holdout, d_price, d_split, d_words, query, r6
 from checks.views import view
 from shelfwise.functions import text
 from shelfwise.operators import cleaning, encoding, pricing, reviews, tfidf
-from shelfwise.plans import features
+from shelfwise.plans import features, monitor
 from shelfwise.plans.combine import cleaned_reviews
 from shelfwise.session import materialize
 
@@ -359,6 +359,35 @@ def monitoring_frame(spark, sf):
     return features.monitoring_frame(combined_rows(spark, sf), texts, state)
 
 
+WIDE_SQL = f"""
+WITH ok AS (SELECT * FROM (SELECT days_after_publish AS d, {d_price('current_price')} AS p, {d_price('discounted_price')} AS q,
+  {d_split('genres', ',', True)} AS g, {d_split('tags', ';', True)} AS t, {d_split('genres', ',')} AS fitted_g, {d_split('tags', ';')} AS fitted_t
+  FROM ({COMBINED_SQL}) c WHERE {_COMPLETE}) c WHERE p IS NOT NULL AND q IS NOT NULL),
+vg AS (SELECT DISTINCT unnest(fitted_g) AS item FROM ok WHERE p <> 0), vt AS (SELECT DISTINCT unnest(fitted_t) AS item FROM ok WHERE p <> 0),
+i AS (SELECT item, true AS genre FROM vg UNION ALL SELECT item, false FROM vt WHERE item NOT IN (SELECT item FROM vg)),
+x AS (SELECT CAST(floor(d / 1000) AS BIGINT) AS bucket, item, count(*)::DOUBLE AS n, count(*) FILTER (list_contains(CASE WHEN genre THEN g ELSE t END, item))::DOUBLE AS k
+  FROM ok, i WHERE d >= 0 GROUP BY ALL),
+y AS (SELECT x.*, r.n AS rn, r.k AS rk, (r.k + x.k) / (r.n + x.n) AS pool FROM x JOIN x r ON r.item = x.item AND r.bucket = 0),
+z AS (SELECT *, CASE WHEN rn <= 1000 THEN 'z' ELSE 'js' END AS test,
+  CASE WHEN pool > 0 AND pool < 1 THEN abs(rk / rn - k / n) / sqrt(pool * (1 - pool) * (1 / rn + 1 / n)) END AS zs,
+  sqrt(greatest(list_sum(list_transform([[rk / rn, k / n], [1 - rk / rn, 1 - k / n]], lambda s: CASE WHEN s[1] > 0 THEN s[1] * log2(s[1] / ((s[1] + s[2]) / 2)) / 2 ELSE 0 END
+    + CASE WHEN s[2] > 0 THEN s[2] * log2(s[2] / ((s[1] + s[2]) / 2)) / 2 ELSE 0 END)), 0)) AS js FROM y)
+SELECT bucket, item AS column_name, test, {d6("CASE WHEN test = 'z' THEN zs ELSE js END")} AS score,
+  coalesce(CASE WHEN test = 'z' THEN zs > 1.959964 ELSE js >= 0.1 END, false) AS drifted FROM z
+"""
+
+
+@query("wide_column_drift", WIDE_SQL, *COMBINED_VIEWS)
+def wide_column_drift(spark, sf):
+    """Every genre and tag column of the monitoring frame, a thousand days a batch."""
+    texts = clean_texts(spark, sf)
+    _, state = features.training_frame(combined_rows(spark, sf), texts)
+    frame = features.monitoring_frame(combined_rows(spark, sf), texts, state, lists=True)
+    flags = [(item, features.item_flag(column, item)) for _, column, item in features.item_columns(state)]
+    found = monitor.wide_column_drift(frame, flags, batch_days=1000, last_day=999)
+    return found.select("bucket", "column_name", "test", r6("score").alias("score"), "drifted")
+
+
 @query(
     "feature_sets",
     "SELECT 'full' AS kind, 7::BIGINT AS n_numeric, count(*) AS n_rows FROM listings UNION ALL SELECT 'plain', 5, count(*) FROM listings",

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions.scalars import discount_fraction, parse_price
@@ -153,9 +153,33 @@ def scoring_frame(rows: DataFrame, texts: DataFrame, state: FeatureState) -> Dat
     return add_features(materialize(frame, "new-rows"), texts, state)
 
 
-def monitoring_frame(combined: DataFrame, texts: DataFrame, state: FeatureState, wide: bool = False) -> DataFrame:
+def item_columns(state: FeatureState) -> list[tuple[str, str, str]]:
+    """(name, list column, item) of the 0/1 column for each known genre, then each known tag that is
+    no genre. Names are the items; one that differs from an earlier name or a monitored column
+    by case only, which a frame cannot tell apart, has its list column added."""
+    taken, seen, out = {c.lower() for c in ["game_id", *MONITORED_FEATURES, "genres", "tags"]}, set(), []
+    for column, vocab in (("genres", state.genres), ("tags", state.tags)):
+        for item in encoding.vocabulary_items(vocab):
+            if item in seen:
+                continue
+            name = item
+            while name.lower() in taken:
+                name += f" ({column})"
+            taken.add(name.lower())
+            seen.add(item)
+            out.append((name, column, item))
+    return out
+
+
+def item_flag(column: str, item: str) -> Column:
+    return F.coalesce(F.array_contains(column, item).cast("int"), F.lit(0))
+
+
+def monitoring_frame(
+    combined: DataFrame, texts: DataFrame, state: FeatureState, wide: bool = False, lists: bool = False
+) -> DataFrame:
     """Compared columns of a batch, infinities and nulls as 0. With ``wide`` one 0/1
-    column per known genre and tag is added.
+    column per known genre and tag is added (``item_columns``), with ``lists`` the lists of known ones.
 
     ``discounted_price`` is compared although no model is trained on it.
     """
@@ -163,10 +187,6 @@ def monitoring_frame(combined: DataFrame, texts: DataFrame, state: FeatureState,
     full = add_features(frame, texts, state)
     full = pricing.restrict_to_vocabulary(full, "genres", state.genres)
     full = pricing.restrict_to_vocabulary(full, "tags", state.tags)
-    extra: list[str] = []
-    if wide:
-        for column, vocab in (("genres", state.genres), ("tags", state.tags)):
-            items = [i for i in encoding.vocabulary_items(vocab) if i not in full.columns]
-            full, extra = encoding.multi_hot_wide(full, column, items), extra + items
-    kept = full.select("game_id", *MONITORED_FEATURES, *[F.col(f"`{c}`") for c in extra])
+    flags = [item_flag(column, item).alias(name) for name, column, item in item_columns(state)] if wide else []
+    kept = full.select("game_id", *MONITORED_FEATURES, *flags, *(["genres", "tags"] if lists else []))
     return cleaning.sanitize(kept, *MONITORED_FEATURES)

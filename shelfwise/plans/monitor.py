@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.scalars import bucket_of
 from shelfwise.operators.cleaning import non_constant_columns, reference_slice
-from shelfwise.operators.drift import batch_metrics
+from shelfwise.operators.drift import batch_metrics, numeric_drift
 from shelfwise.plans.train import as_vectors
 from shelfwise.session import materialize
 from shelfwise.sources import tables
@@ -41,6 +41,25 @@ def replay(
     return batch_metrics(reference, dated, compared, "bucket", prediction, raw=raw)
 
 
+def wide_column_drift(
+    frame: DataFrame, columns: list[tuple[str, Column]], day: str = "days_after_publish", batch_days: int = BATCH_DAYS,
+    last_day: int = REFERENCE_LAST_DAY,
+) -> DataFrame:
+    """Drift of any number of named expressions, such as one per genre and tag, batch by batch.
+
+    Rows before day 0 are left out, rows up to ``last_day`` are the reference. Expressions are
+    compared under short names and named again in the result, as items may hold dots or quotes
+    or differ by case only. The comparison is on (column, value) counts, so 0/1 columns cost two rows each.
+    """
+    names = {f"c{i}": name for i, (name, _) in enumerate(columns)}
+    plain = [c.cast("double").alias(k) for k, (_, c) in zip(names, columns)]
+    dated = frame.where(F.col(day) >= 0).select(F.col(day).alias("_day"), bucket_of(day, batch_days).alias("bucket"), *plain)
+    dated = materialize(dated, "dated")
+    drift = numeric_drift(dated.where(F.col("_day") <= last_day), dated, list(names), "bucket")
+    named = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    return drift.withColumn("column_name", F.element_at(named, F.col("column_name")))
+
+
 def metric_rows(metrics: DataFrame, first: str) -> DataFrame:
     """Metric table rows: one timestamp per batch, counted in minutes from ``first``."""
     at = F.timestamp_seconds(F.unix_timestamp(F.lit(first).cast("timestamp")) + F.col("bucket") * 60)

@@ -8,7 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from shelfwise.operators import cleaning, encoding, evaluation, pricing, tfidf
-from shelfwise.plans import features, train
+from shelfwise.plans import features, monitor, train
 from shelfwise.plans.estimators import CompetitorPricing, CompetitorPricingModel, DropColumns, ReviewScore, ReviewScoreModel, scoring_pipeline
 
 
@@ -232,6 +232,20 @@ def test_monitoring_frame_has_no_gaps(spark, trained):
     assert frame.count() == 300 and frame.na.drop().count() == 300
 
 
+def test_items_that_differ_by_case_only(spark):
+    words = lambda *items: spark.createDataFrame([(i,) for i in items], "item string")
+    state = features.FeatureState(words("Action", "a.b"), words("Action", "ACTION", "tags", "Review_Score", "q`r"), None, None)
+    assert features.item_columns(state) == [
+        ("Action", "genres", "Action"), ("a.b", "genres", "a.b"), ("ACTION (tags)", "tags", "ACTION"),
+        ("Review_Score (tags)", "tags", "Review_Score"), ("q`r", "tags", "q`r"), ("tags (tags)", "tags", "tags"),
+    ]
+    rows = [(d, ["Action"] if d < 40 else ["a.b"], ["q`r"]) for d in range(-5, 80)]
+    df = spark.createDataFrame(rows, "days_after_publish int, genres array<string>, tags array<string>")
+    flags = [(i, features.item_flag(c, i)) for _, c, i in features.item_columns(state)]
+    got = {(r.bucket, r.column_name): r for r in monitor.wide_column_drift(df, flags, batch_days=40, last_day=39).collect()}
+    assert len(got) == 12 and {k for k, r in got.items() if r.drifted} == {(1, "Action"), (1, "a.b")}
+
+
 def test_missing_features_are_named(spark):
     with pytest.raises(ValueError, match="b, c"):
         cleaning.require_columns(spark.range(1).withColumnRenamed("id", "a"), ["a", "b", "c"])
