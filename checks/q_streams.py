@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -123,14 +121,11 @@ def stream_static_compare(spark, sf):
     """Two batches, of even and of odd events, against a reference that is counted once."""
     rows = view(spark, sf, "metric_days")
     reference = drift.count_reference(rows.where(F.col("days_after_publish") <= monitor.REFERENCE_LAST_DAY), NUMERIC)
-    path = fresh_path(spark, "current")
-    for k in (0, 1):
-        rows.where(F.col("event_id") % 2 == k).coalesce(1).write.mode("append").parquet(path)
-        time.sleep(0.05)  # files are taken in the order of their times
-    stream = feeds.read_stream(spark, path, rows.schema, per_trigger=1)
+    halves = rows.withColumn("half", (F.col("event_id") % 2).cast("long"))
+    batches = replace_files(halves, fresh_path(spark, "current"), ("half",))  # written by all tasks
 
     def compare(static, batch):
         found = drift.numeric_drift(static, batch, NUMERIC)
         return found.select("column_name", "ks_distance", F.col("cur_rows").alias("n_rows"))
 
-    return feeds.compare_with_reference(stream, reference, compare, "compared", _BATCH).withColumn("ks_distance", r6("ks_distance"))
+    return feeds.replay_buckets(batches, reference, compare, "compared", _BATCH, "half").withColumn("ks_distance", r6("ks_distance"))
