@@ -31,10 +31,12 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) ->
     found = words.windows(size)
     fits = words.fits(size)
     hashes, doc = found[fits[: len(found)]], words.doc[: len(found)][fits[: len(found)]]
-    for t in np.flatnonzero((words.counts > 0) & (words.counts < size)):  # the whole sequence is one shingle
+    short = np.flatnonzero((words.counts > 0) & (words.counts < size))
+    own = words.hash if len(short) else hashes
+    for t in short:  # the whole sequence is one shingle
         a, b = words.first[t], words.first[t + 1]
         whole = np.array([b - a], np.uint64)
-        for h in words.hash[a:b]:
+        for h in own[a:b]:
             whole = mix(whole * np.uint64(31) + h)
         at = np.searchsorted(doc, t)
         hashes, doc = np.insert(hashes, at, whole[0]), np.insert(doc, at, t)
@@ -238,7 +240,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, scratch: Scra
     return linked
 
 
-def _blocks(members: DataFrame, group: str, held: DataFrame, block: int) -> DataFrame:
+def _blocks(members: DataFrame, group: str, held: DataFrame, block: int, scratch: Scratch) -> DataFrame:
     """Blocks to compare of groups (``group``, node, comp) that consist of several components.
 
     Each stray (member outside its group's largest component) meets each member
@@ -248,6 +250,7 @@ def _blocks(members: DataFrame, group: str, held: DataFrame, block: int) -> Data
     sizes = F.max_by("comp", F.struct("n", "comp")).alias("largest"), F.sum("n").alias("n"), F.max("n").alias("most"), F.count("*").alias("parts")
     cuts = F.ceil(F.col("n") / block).cast("int").alias("others"), F.ceil((F.col("n") - F.col("most")) / block).cast("int").alias("strays")
     open_ = parts.groupBy(group).agg(*sizes).where("parts > 1").select(group, "largest", *cuts)
+    open_ = scratch.keep(open_, f"{group}-open")  # so that both sides of the join are plain shuffles, which Spark splits
     salted = members.join(open_, group).withColumn("_salt", F.abs(F.xxhash64("node", group) % (1 << 30)).cast("int"))
     i, j = F.col("_salt") % F.col("strays"), F.col("_salt") % F.col("others")
     every_i, every_j = (F.explode(F.sequence(F.lit(0), F.col(c) - 1)) for c in ("strays", "others"))
@@ -321,10 +324,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     roots = components(linked, scratch, "star")
     comp = F.coalesce("root", "node").alias("comp")
     placed = members.join(roots, "node", "left").select("bucket", "node", comp)
-    alike = _blocks(placed, "bucket", nodes.select("node", "n_shingles", "sketch"), BLOCK).mapInArrow(_alike, "a long, b long")
+    alike = _blocks(placed, "bucket", nodes.select("node", "n_shingles", "sketch"), BLOCK, scratch).mapInArrow(_alike, "a long, b long")
     groups = components(alike, scratch, "alike").withColumnRenamed("root", "group")
     placed = groups.join(roots, "node", "left").select("group", "node", comp)
-    more = _blocks(placed, "group", sets, SET_BLOCK).mapInArrow(_linked, "a long, b long")
+    more = _blocks(placed, "group", sets, SET_BLOCK, scratch).mapInArrow(_linked, "a long, b long")
     roots = components(linked.union(more), scratch, "all")
     scratch.drop("members", "sets")
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.support import Scratch, Words, mix, pieces, prefix, row_key, spans
+from shelfwise.llm.support import Scratch, Words, mix, pieces, row_key, spans
 
 WINDOW = 35
 
@@ -164,8 +164,7 @@ def _stretches(window: int):
 
 
 def _run_hash(words: Words, which: int, first: np.ndarray, size: np.ndarray, offset: np.ndarray) -> np.ndarray:
-    total, down = prefix(words.hash, which)
-    return mix((total[first + size] - total[first]) * down[first] + size.astype(np.uint64) + (offset.astype(np.uint64) << np.uint64(32)))
+    return mix(words.runs(first, size, which) + size.astype(np.uint64) + (offset.astype(np.uint64) << np.uint64(32)))
 
 
 def _windows(window: int):
@@ -207,7 +206,7 @@ def _cleaned(window: int, with_text: bool):
             own = batch.num_columns - 4
             for low, high, data, offsets in pieces(batch.column(own)):
                 words = Words(data, offsets)
-                gone = np.zeros(len(words.hash) + 1, np.int64)
+                gone = np.zeros(len(words.start) + 1, np.int64)
                 doc, start = _held(batch.column(own + 3), low, high)
                 at = words.first[doc] + start
                 np.add.at(gone, at, 1)
@@ -281,8 +280,9 @@ def remove_repeats(
     run. Longer levels cannot change which words are covered. Windows of one
     anchor are consecutive, so they are compared as one stretch first; only
     where stretches of an anchor differ are their windows compared singly, one
-    copy of each distinct stretch. Anchors and runs are told apart by 64 bits
-    (which can only keep a candidate too long), stretches and windows by 128.
+    copy of each distinct stretch. Anchors and runs are told apart by one hash
+    (which can only keep a candidate too long), stretches and windows by two
+    independent ones modulo 2^61 - 1: two of n words share both with probability (n / 2^61)^2.
 
     The texts are written once, bucketed by a hash of id and text. Each level reads
     them again and joins its short lists of positions, so texts are shuffled once.

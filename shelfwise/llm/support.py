@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,7 +17,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 BATCH = 8 << 20  # bytes of rows that Spark hands to a Python worker at once, unless one row is longer
 CHUNK = 1 << 19  # bytes of text that one numpy step holds, unless one text is longer
-_SEED = 20240607
 
 
 def small_batches(spark: SparkSession) -> SparkSession:
@@ -89,8 +89,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_random = np.random.default_rng(_SEED)
-_BYTE = _random.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 _BASES = [0x9E3779B97F4A7C15 | 5, 0xC2B2AE3D27D4EB4D, 0xA0761D6478BD642F]
@@ -117,12 +115,82 @@ def prefix(values: np.ndarray, which: int) -> tuple[np.ndarray, np.ndarray]:
     return total, down
 
 
+#: Words and runs of words are hashed as polynomials modulo this prime. Different ones of n
+#: values share a hash under a random base with probability n / PRIME, whatever they hold.
+PRIME = np.uint64((1 << 61) - 1)
+_POINTS = [0x0B5AD4ECEDA1CE2A, 0x1137A4F3C0F36D95, 0x06C8E9CF570932BD]  # bases, independent of each other
+_LOW, _REST = np.uint64((1 << 32) - 1), np.uint64((1 << 29) - 1)
+_STEP, LONG = 7, 56  # bytes of a word in one value; longer words are digested
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(_STEP + 1)], np.uint64)
+_raised: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def reduced(x: np.ndarray) -> np.ndarray:
+    """Any 64-bit value modulo ``PRIME``."""
+    x = (x & PRIME) + (x >> np.uint64(61))
+    return np.where(x >= PRIME, x - PRIME, x)
+
+
+def _shifted(x: np.ndarray) -> np.ndarray:
+    """x * 2**32 modulo ``PRIME``, not fully reduced (below 2**61 + 2**32)."""
+    return ((x & _REST) << np.uint64(32)) + (x >> np.uint64(29))
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo ``PRIME``, both below it."""
+    a_high, a_low, b_high, b_low = a >> np.uint64(32), a & _LOW, b >> np.uint64(32), b & _LOW
+    low = a_low * b_low
+    return reduced(((a_high * b_high) << np.uint64(3)) + _shifted(a_high * b_low + a_low * b_high) + (low & PRIME) + (low >> np.uint64(61)))
+
+
+def raised(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """base**i and base**-i modulo ``PRIME`` for i < n."""
+    have = _raised.get(which)
+    if have is None or len(have[0]) < n:
+        size, prime = 1 << max(10, (n - 1).bit_length()), int(PRIME)
+        made = []
+        for base in (_POINTS[which], pow(_POINTS[which], -1, prime)):
+            column, done = np.ones(size, np.uint64), 1
+            while done < size:  # the next ``done`` powers from those before
+                column[done : 2 * done] = times(column[:done], np.full(1, pow(base, done, prime), np.uint64))
+                done *= 2
+            made.append(column)
+        have = (made[0], made[1])
+        if size <= 1 << 23:  # a single giant text does not stay in memory
+            _raised[which] = have
+    return have[0][:n], have[1][:n]
+
+
+def word_codes(data: np.ndarray, start: np.ndarray, end: np.ndarray, which: int) -> np.ndarray:
+    """A value below ``PRIME`` for each word: up to seven bytes, their bytes and number; else a hash.
+
+    Seven bytes make one coefficient of a polynomial, the first one holds the length
+    as well. Words beyond ``LONG`` bytes are digested instead.
+    """
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))
+    size = end - start
+    out = (eight[start] & _KEEP[np.minimum(size, _STEP)]) + ((size.astype(np.uint64) & np.uint64(31)) << np.uint64(56))
+    base, rows = np.full(1, _POINTS[which], np.uint64), np.flatnonzero((size > _STEP) & (size <= LONG))
+    at = _STEP
+    while len(rows):
+        more = eight[start[rows] + at] & _KEEP[np.minimum(size[rows] - at, _STEP)]
+        out[rows] = reduced(times(out[rows], base) + more)
+        at += _STEP
+        rows = rows[size[rows] > at]
+    for i in np.flatnonzero(size > LONG):
+        digest = hashlib.blake2b(data[start[i] : end[i]], digest_size=8, salt=bytes([which])).digest()
+        out[i] = int.from_bytes(digest, "little") % int(PRIME)
+    return out
+
+
 class Words:
-    """Words of consecutive texts, as positions and 64-bit hashes.
+    """Words of consecutive texts, as positions and hashes.
 
     ``doc[i]`` is the text of word i, ``first`` the first word of each text
     (one entry more than texts), ``start``/``end`` its bytes in ``data``. ``apart``
-    says of each byte whether it separates words.
+    says of each byte whether it separates words. ``which`` chooses one of the
+    independent hash functions.
     """
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False, apart: np.ndarray = _IS_SPACE):
@@ -141,18 +209,40 @@ class Words:
         self.first = np.searchsorted(self.start, offsets)
         self.counts = np.diff(self.first)
         self.doc = np.repeat(np.arange(len(offsets) - 1), self.counts)
-        if lower:
-            data = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
-        total, down = prefix(_BYTE[data], 0)
-        self.hash = mix((total[self.end] - total[self.start]) * down[self.start] + (self.end - self.start).astype(np.uint64))
+        self._plain = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data) if lower else data
+        self._sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    @property
+    def hash(self) -> np.ndarray:
+        """A 64-bit hash of each word."""
+        return mix(self.codes(1))
+
+    def codes(self, which: int) -> np.ndarray:
+        return word_codes(self._plain, self.start, self.end, which)
+
+    def sums(self, which: int) -> tuple[np.ndarray, np.ndarray]:
+        """Running sums of codes times powers of the base, and powers of its inverse."""
+        if which not in self._sums:
+            up, down = raised(which, len(self.start) + 1)
+            values = times(self.codes(which), up[:-1])
+            total = np.zeros(len(values) + 1, np.uint64)
+            high, low = np.cumsum(values >> np.uint64(32)), np.cumsum(values & _LOW)
+            total[1:] = reduced(_shifted(reduced(high)) + reduced(low))
+            self._sums[which] = (total, down)
+        return self._sums[which]
 
     def windows(self, size: int, which: int = 1) -> np.ndarray:
         """Hash of the ``size`` words from each word on; only where they fit the array."""
-        n = len(self.hash) - size + 1
+        n = len(self.start) - size + 1
         if n <= 0:
             return np.zeros(0, np.uint64)
-        total, down = prefix(self.hash, which)
-        return mix((total[size:] - total[:-size]) * down[:n] + np.uint64(size))
+        total, down = self.sums(which)
+        return mix(times(reduced(total[size:] + (PRIME - total[:-size])), down[:n]))
+
+    def runs(self, first: np.ndarray, size: np.ndarray, which: int = 1) -> np.ndarray:
+        """Hash of ``size`` words from word ``first`` on, for each pair."""
+        total, down = self.sums(which)
+        return mix(times(reduced(total[first + size] + (PRIME - total[first])), down[first]))
 
     def fits(self, size: int) -> np.ndarray:
         """For each word, whether ``size`` words from it on lie in its text."""

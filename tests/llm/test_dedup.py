@@ -229,3 +229,24 @@ def test_components(spark, kind):
         ours.setdefault(root, set()).add(v)
         theirs.setdefault(find(v), set()).add(v)
     assert sorted(map(sorted, ours.values())) == sorted(map(sorted, theirs.values()))
+
+
+def parity_word(n, other=False):
+    """Letters a and b by the parity of the bits of their places: every polynomial modulo 2^64 takes it for its complement."""
+    return "".join("ab"[(bin(i).count("1") + other) % 2] for i in range(n))
+
+
+def test_texts_made_to_collide_stay_apart(spark):
+    """Words of parity letters, and runs of two words in that order, under hashes modulo 2^61 - 1."""
+    r = random.Random(8)
+    rest = [f"w{k}" for k in range(40)]
+    r.shuffle(rest)
+    rows = [" ".join(x if i % 4 else word for i, x in enumerate(rest)) for word in (parity_word(1024), parity_word(1024, True))]
+    for other in (False, True):
+        rows.append(" ".join({"a": "left", "b": "right"}[c] for c in parity_word(2048, other)))
+    table = [(k, t, "en", "s") for k, t in enumerate(rows)]
+    assert all(x.kept for x in near_duplicates(frame(spark, table)).collect() if x.doc_id < 2)
+    got = {x.doc_id: x.n_removed for x in remove_repeats(frame(spark, table[:2])).collect()}
+    assert got == {0: 0, 1: 0}
+    want = plain(x[:4] for x in repeats(table, 35))
+    assert plain(tuple(x)[:4] for x in remove_repeats(frame(spark, table)).collect()) == want
