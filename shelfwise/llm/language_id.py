@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -16,13 +18,67 @@ WINDOW = 256  # bytes the network sees at once
 WIDTHS = (2, 3, 4)  # of its filters
 FILTERS = 16  # of each width
 SAMPLE = 1500  # documents per language that it learns from at most
+TOTAL = 24000  # documents of all languages that it learns from at most
 SPOTS = 3  # windows of each of them
-MAX_LANGUAGES = 256
+LANGUAGES = 256  # that are learned at most, the most frequent ones
 EPOCHS = 6
 PAD, NEVER = 256, -1e9
 STEP = 128  # windows worked on together
 
 
+_LETTER = np.zeros(256, bool)  # bytes of a-z and of characters beyond ASCII
+_LETTER[[*range(97, 123), *range(128, 256)]] = True
+SLACK, DEVIATIONS, FEW = 0.1, 4.0, 3.0  # added to the share, the standard error and the number of unseen runs that are borne
+
+
+def letter_runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of three letter bytes (A-Z in lower case) as numbers, and the text each is from."""
+    if len(data) < 3:
+        return np.zeros(0, np.int32), np.zeros(0, np.int32)
+    low = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
+    letter = _LETTER[low]
+    doc = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
+    at = np.flatnonzero(letter[:-2] & letter[1:-1] & letter[2:] & (doc[:-2] == doc[2:]))
+    wide = low.astype(np.int32)
+    return (wide[at] << 16) | (wide[at + 1] << 8) | wide[at + 2], doc[at]
+
+
+@dataclass
+class Familiar:
+    """Letter runs of the learned languages, and the share of unseen ones that a text of theirs may have."""
+
+    seen: np.ndarray  # 2^24 bits
+    usual: float
+
+    def judge(self, table: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(share of unseen runs, whether it is beyond chance) of each text; ``table`` is ``seen`` as booleans."""
+        runs, doc = letter_runs(data, offsets)
+        n = np.bincount(doc, minlength=len(offsets) - 1)
+        new = np.bincount(doc[~table[runs]], minlength=len(offsets) - 1)
+        expected = (self.usual + SLACK) * n
+        return new / np.maximum(n, 1), new > expected + DEVIATIONS * np.sqrt(expected) + FEW
+
+
+def _flat(windows: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    data = [w.encode() for w in windows]
+    return np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)])
+
+
+def familiar(windows: list[tuple[str, str]]) -> Familiar:
+    """From (id, window) pairs: the usual share is the 99 % quantile over windows of a fifth
+    of the documents against the runs of the others; the runs of all are kept."""
+    held = np.array([zlib.crc32(f"run {i}".encode()) % 5 == 0 for i, _ in windows], bool)
+    data, offsets = _flat([w for _, w in windows])
+    runs, doc = letter_runs(data, offsets)
+    table = np.zeros(1 << 24, bool)
+    table[runs[~held[doc]]] = True
+    n, new = np.bincount(doc, minlength=len(windows)), np.bincount(doc[~table[runs]], minlength=len(windows))
+    told = held & (n > 0)
+    usual = float(np.quantile(new[told] / n[told], 0.99)) if told.any() else 0.0
+    table[runs] = True
+    return Familiar(np.packbits(table), usual)
+
+
 class Network:
     """Filters of several widths over bytes, the largest response of each, a softmax.
 
@@ -59,7 +115,7 @@ class Network:
         return np.maximum(self.responses(x).max(axis=1) + self.bias, 0)
 
     def probabilities(self, x: np.ndarray) -> np.ndarray:
-        z = self.pooled(x) @ self.out + self.offset
+        z = np.einsum("wf,fl->wl", self.pooled(x), self.out) + self.offset  # each row alone, so that it does not matter what it is batched with
         z = np.exp(z - z.max(axis=1, keepdims=True))
         return z / z.sum(axis=1, keepdims=True)
 
@@ -113,7 +169,8 @@ def window_rows(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.n
 
 def _predicted(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network: Network | None = shared.value
+        network, known = shared.value
+        table = np.unpackbits(known.seen).view(bool)
         for batch in batches:
             own = batch.num_columns - 2
             for low, high, data, offsets in pieces(batch.column(own + 1)):
@@ -129,32 +186,40 @@ def _predicted(shared):
                     sums /= np.maximum(np.diff(offsets), 1)[:, None]
                     best, score = sums.argmax(axis=1), np.where(letters, np.minimum(sums.max(axis=1), 1.0), 0.0)
                     names = [network.languages[k] if ok else "und" for k, ok in zip(best, letters)]
-                columns = [batch.column(i).slice(low, high - low) for i in range(own)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(names, pa.string()), pa.array(score)], names=[*batch.schema.names[:own], "lang_pred", "score"])
+                unseen, foreign = known.judge(table, data, offsets)
+                foreign &= network is not None
+                columns = [*(batch.column(i).slice(low, high - low) for i in range(own)), pa.array(names, pa.string()), pa.array(score), pa.array(unseen), pa.array(foreign)]
+                yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:own], "lang_pred", "score", "unseen", "foreign"])
 
     return run
 
 
-def training_windows(docs: DataFrame, id_col: str, text: str, lang: str, sample: int, held: int, parts: int) -> DataFrame:
-    """(lang, window): ``SPOTS`` windows at hashed places of at most ``sample`` documents per language.
+def training_windows(
+    docs: DataFrame, id_col: str, text: str, lang: str, sample: int, held: int, parts: int, total: int = TOTAL, languages: int = LANGUAGES
+) -> DataFrame:
+    """(_id, _lang, window): ``SPOTS`` windows at hashed places of at most ``sample`` documents per language.
 
     The least hashes of ids are taken, after a cut by hash to about twice as many,
-    so that ranking a language with most of the documents stays small. The chosen
-    ids are broadcast: ``sample * MAX_LANGUAGES`` at most.
+    so that ranking a language with most of the documents stays small. Chosen ids and
+    their languages (``total`` at most) are broadcast; only rows that bear both are read.
+    Rows that repeat an id and a language share its ``SPOTS`` windows, those of least hash.
     """
-    docs = docs.select(F.col(id_col).alias("_key"), F.col(text).alias("_text"), F.col(lang).alias("_lang"))
-    known = docs.where(F.col("_lang").isNotNull() & (share("_key", parts) != held)).select(F.col("_key").alias("_id"), "_lang")
-    counts = known.groupBy("_lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "_lang").limit(MAX_LANGUAGES)
+    docs = docs.select(F.col(id_col).alias("_key"), F.col(text).alias("_text"), F.col(lang).alias("_named"))
+    known = docs.where(F.col("_named").isNotNull() & (share("_key", parts) != held)).select(F.col("_key").alias("_id"), F.col("_named").alias("_lang"))
+    counts = known.groupBy("_lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "_lang").limit(languages)
+    sample = max(1, min(sample, total // max(1, counts.count())))
     spread = F.pmod(F.xxhash64(F.col("_id").cast("string"), F.lit("sample")), F.lit(1 << 30))
     cut = known.join(F.broadcast(counts), "_lang").withColumn("_h", spread).where((F.col("_h").cast("double") * F.col("n")) <= F.lit(2.0 * sample * (1 << 30)))
     nth = F.row_number().over(W.partitionBy("_lang").orderBy("_h", "_id"))
-    chosen = cut.withColumn("_nth", nth).where(F.col("_nth") <= sample).select("_id", "_lang").distinct()
+    chosen = cut.distinct().withColumn("_nth", nth).where(F.col("_nth") <= sample).select("_id", "_lang")
     body = F.coalesce("_text", F.lit(""))
     room = F.greatest(F.length(body) - WINDOW, F.lit(1))
     spot = [(F.pmod(F.xxhash64(F.col("_key").cast("string"), F.lit(k)), room) + 1).cast("int") for k in range(SPOTS)]
     spots = F.array_distinct(F.array(*[F.substring(body, at, F.lit(WINDOW)) for at in spot]))
-    there = docs.drop("_lang").where(body.rlike(r"\p{L}")).join(F.broadcast(chosen), F.col("_key") == F.col("_id"))
-    return there.select("_id", "_lang", F.explode(spots).alias("window")).limit(sample * MAX_LANGUAGES * SPOTS)
+    same = (F.col("_key") == F.col("_id")) & (F.col("_named") == F.col("_lang"))
+    windows = docs.where(body.rlike(r"\p{L}")).join(F.broadcast(chosen), same).select("_id", "_lang", F.explode(spots).alias("window"))
+    place = F.row_number().over(W.partitionBy("_id", "_lang").orderBy(F.xxhash64("window"), "window"))
+    return windows.withColumn("_place", place).where(F.col("_place") <= SPOTS).drop("_place")
 
 
 def learn(windows: list[tuple[str, str]], epochs: int = EPOCHS) -> Network | None:
@@ -180,27 +245,36 @@ def identify(
     held: int = 2,
     parts: int = 4,
     carry: tuple = (),
+    total: int = TOTAL,
+    languages: int = LANGUAGES,
 ) -> DataFrame:
-    """One row per document: id, ``carry``, held_out, lang_pred, score.
+    """One row per document: id, ``carry``, held_out, lang_pred, score, unseen, foreign.
 
     Learns from ``text`` and non-null ``lang`` of documents whose crc32(id as text)
-    modulo ``parts`` is not ``held``; at most ``sample`` documents per language and
-    ``MAX_LANGUAGES`` languages (the most frequent) are used, everything else of
-    the corpus is only predicted. The network sees fixed windows of bytes, side by
+    modulo ``parts`` is not ``held``; at most ``sample`` documents per language,
+    ``total`` documents and ``languages`` languages (the most frequent) are used,
+    everything else of the corpus is only predicted. The network sees fixed windows of bytes, side by
     side over the whole text; ``score`` is the mean probability of the predicted
     language over the windows, weighted by their bytes. No shuffle of texts; the
     network (some hundred kilobytes) is broadcast.
 
+    The network has to name a learned language whatever it reads. ``unseen`` is the share
+    of a text's runs of three letter bytes that no training window holds; ``foreign`` says
+    that there are more of them than a text of the learned languages has by chance: more than
+    the usual share (fitted on windows of held-back documents) plus a tenth, four standard
+    errors and three. So a handful of odd words never decides.
+
     Null or empty text, or text without letters: ``und``, score 0. Null id:
     held_out false, predicted but not learned from. Nothing to learn from: all
     ``und``. Equal scores: the first language by name. Repeated rows: one row
     each. No rows: no rows. Other columns are not read.
     """
-    pairs = training_windows(docs, id_col, text, lang, sample, held, parts)
-    rows = sorted((r["_lang"], r["window"]) for r in pairs.collect())
-    shared = small_batches(docs.sparkSession).sparkContext.broadcast(learn(rows))
+    pairs = training_windows(docs, id_col, text, lang, sample, held, parts, total, languages)
+    rows = sorted(((r["_lang"], r["window"], str(r["_id"])) for r in pairs.collect()))
+    model = learn([row[:2] for row in rows]), familiar([(i, window) for _, window, i in rows])
+    shared = small_batches(docs.sparkSession).sparkContext.broadcast(model)
     body = F.coalesce(F.col(text), F.lit(""))
     out = F.coalesce(share(id_col, parts) == held, F.lit(False)).alias("held_out")
     cut = docs.select(F.col(id_col), *carry, out, body.rlike(r"\p{L}").alias("_letters"), body.alias("_text"))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema[:-2]]
-    return cut.mapInArrow(_predicted(shared), ", ".join([*fields, "lang_pred string", "score double"]))
+    return cut.mapInArrow(_predicted(shared), ", ".join([*fields, "lang_pred string", "score double", "unseen double", "foreign boolean"]))

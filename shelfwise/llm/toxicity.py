@@ -145,7 +145,7 @@ def training_terms(docs: DataFrame, labels: DataFrame, id_col: str, text: str, s
         chosen = known.limit(0)
     there = docs.select(F.col(id_col).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text")).join(F.broadcast(chosen), F.col("_key") == F.col("_id"))
     cut = there.select("_id", F.col("label").cast("int").alias("label"), "_text").mapInArrow(_slots, f"_id {dict(known.dtypes)['_id']}, label int, slots binary")
-    return cut.limit(2 * sample)
+    return cut.orderBy(F.xxhash64("_id", "slots"), "_id", "slots").limit(2 * sample)  # ids that repeat: the same rows in each run
 
 
 def _scored(shared):

@@ -92,7 +92,7 @@ def test_language_of_odd_rows(spark):
     rows += [(900, None, "en", None), (901, "", None, None), (902, "12 + 34 = 46", "en", None), (None, texts["de"], None, None), rows[1], rows[1]]
     rows += [(903, texts["de"] * 4000, None, None), (904, "a", None, None)]
     got = language_id.identify(frame(spark, rows))
-    assert got.columns == ["doc_id", "held_out", "lang_pred", "score"]
+    assert got.columns == ["doc_id", "held_out", "lang_pred", "score", "unseen", "foreign"]
     told = {x.doc_id: x for x in got.collect()}
     assert got.count() == len(rows) and all(told[k].lang_pred == rows[k][2] for k in range(90))
     assert [(told[k].lang_pred, told[k].score) for k in (900, 901, 902)] == [("und", 0.0)] * 3
@@ -106,6 +106,85 @@ def test_language_with_nothing_to_learn(spark):
     assert [(x.lang_pred, x.score) for x in got] == [("und", 0.0)]
 
 
+def test_training_rows_bear_their_own_language(spark):
+    """Rows without a language, or with another one, never lend their texts to a chosen id."""
+    rows = [(k, f"named text number {k} of this kind", "en", None) for k in range(40)]
+    rows += [(k, f"nameless stranger {k}", None, None) for k in range(40)] + [(k, f"fremder Satz {k}", "de", None) for k in range(40)]
+    got = language_id.training_windows(frame(spark, rows), "doc_id", "text", "lang", 100, 2, 4).collect()
+    assert {(x._lang, x.window.split()[0]) for x in got} == {("en", "named"), ("de", "fremder")}
+    repeated = frame(spark, [(1, f"text {k} of one id", "en", None) for k in range(50)] + [(5, "one more", "fr", None)])
+    few = [sorted(x.window for x in language_id.training_windows(repeated.repartition(n), "doc_id", "text", "lang", 9, 2, 4).collect()) for n in (1, 4)]
+    assert few[0] == few[1] and len(few[0]) <= 2 * language_id.SPOTS
+    assert len({x._lang for x in language_id.training_windows(frame(spark, rows), "doc_id", "text", "lang", 9, 2, 4, languages=1).collect()}) == 1
+    small = language_id.training_windows(frame(spark, rows), "doc_id", "text", "lang", 100, 2, 4, total=10)
+    assert small.select("_id", "_lang").distinct().count() <= 10
+
+
+#: The first article of the Universal Declaration of Human Rights, or its beginning, in languages without documents.
+STRANGERS = [
+    "Minden emberi lény szabadon születik és egyenlő méltósága és joga van. Az emberek, ésszel és lelkiismerettel bírván, egymással szemben testvéri szellemben kell hogy viseltessenek.",
+    "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+    "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+    "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler.",
+]
+
+
+def test_language_stage_rejects_what_it_did_not_learn(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    planted = frame(spark, [(-1 - k, t, None, None) for k, t in enumerate(STRANGERS)] + [(-100 - k, 40 * f"{t} ", None, None) for k, t in enumerate(STRANGERS)], clash=False)
+    short = docs.where("lang is not null").selectExpr("doc_id - 100000 as doc_id", "substring(text, 1, 40) as text", "lang", "source", "40L as n_chars")
+    both = docs.unionByName(planted.select(docs.columns)).unionByName(short.select(docs.columns))
+    kept = {x.doc_id for x in dict(corpus_pipeline.STAGES)["language_id"](spark, both, SF).select("doc_id").collect()}
+    assert not {-1 - k for k in range(len(STRANGERS))} & kept and not {-100 - k for k in range(len(STRANGERS))} & kept
+    lettered = {x.doc_id for x in both.where("doc_id >= 0 or doc_id < -1000").where(F.col("text").rlike(r"\p{L}")).select("doc_id").collect()}
+    assert kept == lettered
+
+
+def test_network_equals_a_plain_loop():
+    """Convolution, pooling and softmax over some windows, and a training step that lowers the loss."""
+    windows = ["some words of a text", "ein Satz mit Wörtern", "zzz qqq", "ab"]
+    network = language_id.learn(list(zip(["en", "de", "xx", "en"], windows)), epochs=3)
+    rows = np.full((len(windows), language_id.WINDOW + network.width - 1), language_id.PAD, np.int16)
+    for k, w in enumerate(windows):
+        rows[k, : len(w.encode())] = list(w.encode())
+    for k, w in enumerate(windows):
+        pooled, data = [], [*w.encode(), *[None] * network.width]
+        for f in range(len(network.bias)):
+            width = language_id.WIDTHS[f // language_id.FILTERS]
+            best = max(sum(float(network.tables[i, data[at + i], f]) for i in range(width) if data[at + i] is not None) for at in range(len(w.encode())))
+            pooled.append(max(best + float(network.bias[f]), 0.0))
+        z = [sum(p * float(o) for p, o in zip(pooled, network.out[:, k2])) + float(network.offset[k2]) for k2 in range(len(network.languages))]
+        e = [np.exp(x - max(z)) for x in z]
+        assert np.allclose(network.probabilities(rows)[k], np.array(e) / sum(e), atol=1e-4)
+
+
+def test_pair_products_equal_a_plain_sum():
+    r = np.random.default_rng(3)
+    machine = toxicity.Machine(np.arange(30))
+    machine.weights[1:], machine.factors[1:], machine.bias = r.normal(size=30), r.normal(size=(30, toxicity.FACTORS)), 0.2
+    texts = [r.permutation(30)[:n] for n in (0, 1, 2, 7, 30)]
+    first = np.append(0, np.cumsum([len(t) for t in texts]))
+    got = machine.scores(np.concatenate(texts), first)
+    for t, g in zip(texts, got):
+        v, w = machine.factors[t + 1], machine.weights[t + 1]
+        x = 0.2 + w.sum() + sum(v[i] @ v[j] for i in range(len(t)) for j in range(i))
+        assert abs(g - 1 / (1 + np.exp(-np.clip(x, -40, 40)))) < 1e-12
+
+
+def test_letter_runs_equal_a_plain_loop():
+    r = random.Random(5)
+    texts = ["".join(r.choice("abZé 1\n") for _ in range(r.randrange(9))) for _ in range(200)]
+    data, offsets = language_id._flat(texts)
+    want = []
+    for k, t in enumerate(texts):
+        raw = bytes(b + 32 if 65 <= b <= 90 else b for b in t.encode())
+        want += [(k, raw[i : i + 3]) for i in range(len(raw) - 2) if all(97 <= b <= 122 or b > 127 for b in raw[i : i + 3])]
+    runs, doc = language_id.letter_runs(data, offsets)
+    assert [(int(d), int(x).to_bytes(3, "big")) for x, d in zip(runs, doc)] == want
+
+
 def test_toxicity_on_held_out_documents(spark):
     sf = "/root/testdata/sf0.1"
     got = QUERIES["op5_toxicity"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out")
