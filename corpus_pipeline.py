@@ -1,7 +1,7 @@
 """A training corpus from raw documents: language, near copies, repeated passages, mixture, token ids.
 
 Each stage is a function (spark, docs, sf_dir) over documents (doc_id, text, lang,
-source, n_chars; other columns go along unless a stage makes one of that name).
+source, n_chars; other columns are left out). Each takes empty tables.
 Its result is written and read again as the next one's documents.
 """
 
@@ -20,18 +20,18 @@ from shelfwise.llm.substring_dedup import remove_repeats
 from shelfwise.llm.support import Scratch
 from shelfwise.session import configure
 
-LEAST_SCORE = 0.3  # of the best language; a text that looks like none of them has less
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the network names with some certainty; ``lang`` is what it names.
+    """Documents in a language that ``docs`` name; ``lang`` is the one the network tells.
 
-    Rejected: null or empty texts, texts without letters (``und``), and those whose
-    best language has a score below ``LEAST_SCORE``.
+    Rejected: null or empty texts, texts without letters (``und``), and those whose letters are
+    unlike those of all learned languages (``foreign``). Null ids and repeated rows stay as
+    they are; without any ``lang`` to learn from nothing is kept.
     """
     told = identify(docs, carry=("text", "source", "n_chars"))
-    kept = told.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
+    kept = told.where((F.col("lang_pred") != "und") & ~F.col("foreign"))
     return kept.select("doc_id", "text", F.col("lang_pred").alias("lang"), "source", "n_chars")
 
 
