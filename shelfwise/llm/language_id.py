@@ -50,11 +50,12 @@ class Familiar:
     seen: np.ndarray  # 2^24 bits
     usual: float
 
-    def judge(self, table: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(share of unseen runs, whether it is beyond chance) of each text; ``table`` is ``seen`` as booleans."""
+    def judge(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(share of unseen runs, whether it is beyond chance) of each text."""
         runs, doc = letter_runs(data, offsets)
         n = np.bincount(doc, minlength=len(offsets) - 1)
-        new = np.bincount(doc[~table[runs]], minlength=len(offsets) - 1)
+        there = (self.seen[runs >> 3] >> (7 - (runs & 7)).astype(np.uint8)) & np.uint8(1)
+        new = np.bincount(doc[there == 0], minlength=len(offsets) - 1)
         expected = (self.usual + SLACK) * n
         return new / np.maximum(n, 1), new > expected + DEVIATIONS * np.sqrt(expected) + FEW
 
@@ -170,7 +171,6 @@ def window_rows(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.n
 def _predicted(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network, known = shared.value
-        table = np.unpackbits(known.seen).view(bool)
         for batch in batches:
             own = batch.num_columns - 2
             for low, high, data, offsets in pieces(batch.column(own + 1)):
@@ -186,7 +186,7 @@ def _predicted(shared):
                     sums /= np.maximum(np.diff(offsets), 1)[:, None]
                     best, score = sums.argmax(axis=1), np.where(letters, np.minimum(sums.max(axis=1), 1.0), 0.0)
                     names = [network.languages[k] if ok else "und" for k, ok in zip(best, letters)]
-                unseen, foreign = known.judge(table, data, offsets)
+                unseen, foreign = known.judge(data, offsets)
                 foreign &= network is not None
                 columns = [*(batch.column(i).slice(low, high - low) for i in range(own)), pa.array(names, pa.string()), pa.array(score), pa.array(unseen), pa.array(foreign)]
                 yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:own], "lang_pred", "score", "unseen", "foreign"])
