@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.session import materialize
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PREFIX_BYTES = 4  # of a digest; what the join compares first
 
@@ -38,8 +40,9 @@ def judge_urls(
     characters of the path, as many as the longest rule has. So URLs are reduced
     to these, and only distinct reduced URLs are expanded into expressions
     (host suffixes times path prefixes of the lengths that rules have). Those
-    equi-join the rules on a short hash prefix; full digests confirm. Pages then
-    take the outcome of their reduced URL. One host with a third of all pages is
+    equi-join the rules, listed by short hash prefix, on that prefix alone; each
+    row then confirms its full digest among the listed ones (one rule, but for
+    chance). Outcomes are written, and pages take that of their reduced URL. One host with a third of all pages is
     one reduced URL per path head, counted out before any shuffle. Nothing is
     broadcast unless the planner finds it below its threshold.
 
@@ -75,9 +78,6 @@ def judge_urls(
         .withColumn("_digest", _digest(F.col("_host"), F.col("_path")))
         .withColumn("_short", F.substring("_digest", 1, prefix_bytes))
     )
-    keyed = ruled.withColumn("r_digest", _digest(F.col("r_host"), F.col("r_path"))).withColumn(
-        "_short", F.substring("r_digest", 1, prefix_bytes)
-    )
     rank = F.struct(
         (F.length("r_host") + F.length("r_path")).alias("length"),
         F.length("r_host").alias("host_length"),
@@ -85,12 +85,19 @@ def judge_urls(
         F.concat("r_host", "r_path").alias("rule"),
         F.col("r_verdict").alias("verdict"),
     )
+    single = ruled.groupBy(_digest(F.col("r_host"), F.col("r_path")).alias("digest")).agg(F.max(rank).alias("rank"))
+    listed = single.groupBy(F.substring("digest", 1, prefix_bytes).alias("_short")).agg(
+        F.collect_list(F.struct("digest", "rank")).alias("_listed")
+    )
+    confirmed = F.filter("_listed", lambda r: r["digest"] == F.col("_digest"))
     best = (
-        expressions.join(keyed, "_short")
-        .where(F.col("_digest") == F.col("r_digest"))
+        expressions.join(listed, "_short")
+        .withColumn("_rank", F.get(confirmed, F.lit(0))["rank"])
+        .where("_rank is not null")
         .groupBy("_tail", "_head")
-        .agg(F.max(rank).alias("_best"))
+        .agg(F.max("_rank").alias("_best"))
     )
+    best = materialize(best, "url-rules")  # both sides of the last join are plain then: broadcast by size, or split where skewed
     return named.join(best, ["_tail", "_head"], "left").select(
         "_page.*", "host", "path", F.col("_best.rule").alias("rule"), F.coalesce("_best.verdict", F.lit(default)).alias("verdict")
     )

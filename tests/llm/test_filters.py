@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.llm import license_scan
+from shelfwise.llm import license_scan, url_filters
 from shelfwise.llm.license_scan import TEMPLATES, Library, scan
 from shelfwise.llm.mixing import mix_sources, source_targets
 from shelfwise.llm.quality_rules import base_failed, cover, judge_quality, rule_expression, text_statistics
@@ -47,6 +47,24 @@ def test_urls_equal_plain_python(spark):
         assert set(pages.columns) <= set(got.columns)
 
 
+def test_short_prefixes_meet_and_digests_confirm(spark, monkeypatch):
+    """With one byte of the digest many rules share a prefix; the plan joins on nothing but the prefix."""
+    many = [(f"h{i}.net", f"/p{i % 7}", "allow" if i % 3 else "block") for i in range(600)] + [("h5.net", "/p5", "block")]
+    rows = [(k, f"http://a.h{k}.net/p{k % 5}x") for k in range(700)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    rules = spark.createDataFrame(many, "host string, path string, verdict string")
+    plans = []
+    monkeypatch.setattr(url_filters, "materialize", lambda df, label: (plans.append(df._jdf.queryExecution().toString()), df)[1])
+    got = judge_urls(pages, rules, prefix_bytes=1).select("page_id", "host", "path", "rule", "verdict").collect()
+    verdicts = {}
+    for h, p, v in many:
+        verdicts[h, p] = "block" if "block" in (v, verdicts.get((h, p))) else v
+    single = [(h, p, v) for (h, p), v in verdicts.items()]
+    assert plain(got) == plain((k, *judged(u, single)) for k, u in rows)
+    keys = re.findall(r"Join \[([^\]]*)\], \[([^\]]*)\], Inner", plans[0].split("== Physical Plan ==")[1])
+    assert keys and all(re.fullmatch(r"_short#\d+", k) for pair in keys for k in pair)
+
+
 def test_no_urls_and_no_rules(spark):
     rules = spark.createDataFrame([], "host string, path string, verdict string")
     pages = spark.createDataFrame([(1, "http://a/b")], "page_id long, url string")
