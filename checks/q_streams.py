@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.q_drift import COUNTS_SQL, NUMERIC, days
+from checks.q_drift import COUNTS_SQL, NUMERIC, TESTED, days
 from checks.registry import d6, query, r6
 from checks.views import table, view
 from shelfwise.operators import drift
 from shelfwise.plans import monitor
 from shelfwise.session import fresh_path
 from shelfwise.sources.tables import replace_files
-from shelfwise.streaming import capped, feeds
+from shelfwise.streaming import capped, feeds, sketched
 
 
 def stream_of(spark, sf, name, per_trigger=None):
@@ -129,3 +129,17 @@ def stream_static_compare(spark, sf):
         return found.select("column_name", "ks_distance", F.col("cur_rows").alias("n_rows"))
 
     return feeds.replay_buckets(batches, reference, compare, "compared", _BATCH, "half").withColumn("ks_distance", r6("ks_distance"))
+
+
+@query("stream_sketch_drift")
+def stream_sketch_drift(spark, sf):
+    """All events as a stream with sketches as state: every closed window of five days against the reference days.
+    Approximate within a stated error, so it is tested beside exact distances instead of SQL."""
+    path = fresh_path(spark, "events")
+    view(spark, sf, "metric_days").select("ts", "days_after_publish", *TESTED).write.parquet(path)
+    rows = spark.read.parquet(path).withColumn("ts", F.col("ts").cast("timestamp"))
+    stream = feeds.read_stream(spark, path, spark.read.parquet(path).schema).withColumn("ts", F.col("ts").cast("timestamp"))
+    reference = rows.where(F.col("days_after_publish") <= monitor.REFERENCE_LAST_DAY)
+    found = sketched.monitor_stream(stream, reference, TESTED, "ts", "sketched", fresh_path(spark, "metrics"))
+    start = F.col("window_start").cast("timestamp_ntz").alias("window_start")
+    return found.select(start, "column_name", "ref_rows", "cur_rows", r6("ks_distance").alias("ks_distance"), r6("wasserstein").alias("wasserstein"), "drifted")
