@@ -2,12 +2,28 @@
 
 import datetime
 
+import pytest
+
 from shelfwise.functions.scalars import parse_owners, parse_release_date
-from shelfwise.operators import cleaning
+from shelfwise.operators import cleaning, tfidf
 from shelfwise.plans import features
 from shelfwise.plans.combine import combine_rows
 
 
+@pytest.fixture
+def written(monkeypatch):
+    """Rows of each table that the text score writes."""
+    rows, put = {}, tfidf.materialize
+
+    def counted(df, label):
+        out = put(df, label)
+        rows[label] = out.count()
+        return out
+
+    monkeypatch.setattr(tfidf, "materialize", counted)
+    return rows
+
+
 def test_prices_and_owners_are_parsed_once_a_row(spark):
     listings = spark.createDataFrame(
         [(1, "a", "5 Jan, 2020", 3, 90, "x,y", "p;q", "$4.00", "$1.00 USD"), (None, "b", "Coming soon", 3, 90, "x", "p", "abc", "$1")],
@@ -31,3 +47,15 @@ def test_parsing_keeps_odd_values(spark):
     assert [r[0] for r in days.select(parse_release_date("t")).collect()] == [day, day, day, None, None]
     odd = spark.createDataFrame([("$1", None, 7), ("$1", "$2", 8)], "current_price string, discounted_price string, `a.b` int")
     assert [tuple(r) for r in cleaning.parse_prices(odd).collect()] == [(1.0, 2.0, 8)]
+
+
+def test_only_chosen_terms_are_counted_by_document(spark, written):
+    texts = spark.createDataFrame(
+        [(1, "aa aa bb once"), (2, "aa bb more"), (2, "aa"), (3, "cc cc cc cc cc cc cc cc"), (None, "aa")], "game_id long, review string"
+    )
+    copies = spark.createDataFrame([(1, 1), (2, 2), (4, 1)], "game_id long, copies long")
+    state, counts = tfidf.fit_and_count(texts, copies=copies, max_features=2)
+    assert [(r.term, r.tf, r.df) for r in state.orderBy("idx").collect()] == [("aa", 6, 3), ("bb", 3, 3)]
+    assert written["term-counts"] == 5  # aa and bb of 1 and 2, aa of the null key
+    plain = {tuple(r) for r in tfidf.review_scores(texts, state).collect()}
+    assert {tuple(r) for r in tfidf.review_scores(texts, state, counts=counts).collect()} == plain
