@@ -3,7 +3,9 @@
 import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
+from checks import q_models
 from shelfwise.functions.scalars import parse_owners, parse_release_date
 from shelfwise.operators import cleaning, tfidf
 from shelfwise.plans import features
@@ -59,3 +61,17 @@ def test_only_chosen_terms_are_counted_by_document(spark, written):
     assert written["term-counts"] == 5  # aa and bb of 1 and 2, aa of the null key
     plain = {tuple(r) for r in tfidf.review_scores(texts, state).collect()}
     assert {tuple(r) for r in tfidf.review_scores(texts, state, counts=counts).collect()} == plain
+
+
+def test_ablation_makes_the_feature_frame_once(spark, monkeypatch):
+    calls, rows = [], spark.range(50).select(F.col("id").alias("game_id"), F.lit(0).alias("features"), F.lit(0.5).alias("discount_pct"))
+
+    class Same:
+        def transform(self, df):
+            return df.withColumn("prediction", F.lit(0.25))
+
+    monkeypatch.setattr(q_models, "training", lambda *_: calls.append(1) or (rows, None))
+    monkeypatch.setattr(q_models.features, "vectorizer", lambda *_: Same())
+    monkeypatch.setattr(q_models.train, "fit_model", lambda *_: Same())
+    got = {r.kind: r.mae for r in q_models.ablation_models(spark, "").collect()}
+    assert got == {"full": 0.25, "plain": 0.25} and len(calls) == 1
