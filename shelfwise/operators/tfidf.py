@@ -277,15 +277,26 @@ def lexicon_sentiment(
 
     One scan splits the texts. A lexicon of at most ``LEXICON_ROWS`` words, counted once
     written, goes to every task, so of the words only a sum and a count per key are shuffled. With a
-    larger one the words are counted by (key, term) first and counts that meet it go on.
+    larger one the ``LEXICON_ROWS`` most frequent words of the texts, in the lexicon or not, are settled
+    that way; only rarer ones are counted by (key, term) and joined with the whole lexicon.
     Keys whose texts have no words, or none at all, have 0; a null key is a key.
     """
     known = materialize(lexicon.select("term", "weight").where("weight is not null"), "lexicon")
     split = reviews.select(key, F.explode_outer(words(text)).alias("term"))
     if known.count() <= LEXICON_ROWS:
-        met, times = split.join(F.broadcast(known), "term", "left"), F.lit(1)
+        met = split.join(F.broadcast(known), "term", "left")
+        sums = met.select(key, F.col("weight").alias("_sum"), F.when(F.col("weight").isNotNull(), 1).alias("_rows"))
     else:
-        counted = split.groupBy(key, "term").agg(F.count("*").alias("n"))
-        met, times = counted.join(known, "term", "left"), F.col("n")
-    mean = F.try_divide(F.sum(F.col("weight") * times), F.sum(F.when(F.col("weight").isNotNull(), times)))
-    return met.groupBy(key).agg(F.coalesce(mean, F.lit(0.0)).alias(name))
+        summed = known.groupBy("term").agg(F.sum("weight").alias("_sum"), F.count("*").alias("_rows"))
+        often = split.where("term is not null").groupBy("term").agg(F.count("*").alias("n"))
+        frequent = often.join(summed, "term", "left").orderBy(F.desc("n"), "term").limit(LEXICON_ROWS)
+        frequent = materialize(frequent.select("term", "_sum", F.coalesce("_rows", F.lit(0)).alias("_rows")), "frequent-words")
+        met = split.join(F.broadcast(frequent), "term", "left")
+        rare = F.when(F.col("_rows").isNull(), F.col("term")).alias("term")
+        totals = [F.sum("_sum").alias("_sum"), F.sum("_rows").alias("_rows"), F.count("*").alias("n")]
+        counted = materialize(met.groupBy(key, rare).agg(*totals), "word-counts")
+        rest = counted.select(key, "term", "n").join(summed, "term")
+        rest = rest.select(key, (F.col("n") * F.col("_sum")).alias("_sum"), (F.col("n") * F.col("_rows")).alias("_rows"))
+        sums = counted.select(key, "_sum", "_rows").unionByName(rest)
+    mean = F.try_divide(F.sum("_sum"), F.sum("_rows"))
+    return sums.groupBy(key).agg(F.coalesce(mean, F.lit(0.0)).alias(name))

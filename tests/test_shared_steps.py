@@ -63,6 +63,17 @@ def test_only_chosen_terms_are_counted_by_document(spark, written):
     assert {tuple(r) for r in tfidf.review_scores(texts, state, counts=counts).collect()} == plain
 
 
+def test_frequent_words_are_not_sent_by_document(spark, monkeypatch, written):
+    reviews = spark.createDataFrame([(k, f"good often only{k}") for k in range(20)] + [(20, None), (None, "good bad")], "k long, t string")
+    lexicon = spark.createDataFrame([("good", 1.0), ("good", 0.5), ("only3", -1.0), ("bad", -2.0), (None, 9.0)], "term string, weight double")
+    whole = {r[0]: r[1] for r in tfidf.lexicon_sentiment(reviews, lexicon, "k", "t").collect()}
+    monkeypatch.setattr(tfidf, "LEXICON_ROWS", 2)
+    split = {r[0]: r[1] for r in tfidf.lexicon_sentiment(reviews, lexicon, "k", "t").collect()}
+    assert split == pytest.approx(whole) and len(split) == 22
+    assert whole[3] == pytest.approx(0.5 / 3) and whole[20] == 0.0 and whole[None] == pytest.approx(-0.5 / 3)
+    assert written["word-counts"] == 22 + 20 + 1  # one row a key, and its rare words
+
+
 def test_ablation_makes_the_feature_frame_once(spark, monkeypatch):
     calls, rows = [], spark.range(50).select(F.col("id").alias("game_id"), F.lit(0).alias("features"), F.lit(0.5).alias("discount_pct"))
 
