@@ -159,7 +159,7 @@ def finalize(train: DataFrame, holdout: DataFrame, runs: DataFrame, label: str =
     """(model, run row): refit the trial with the smallest MAE and evaluate it."""
     best = best_trial(runs).first()
     trial = Trial(best.model_type, {k: float(v) for k, v in best.params.items()})
-    model = fit_model(train, trial, label)
+    model = fit_model(spread(train.select("features", label), "refit"), trial, label)
     scores = regression_metrics(model.transform(holdout), label, "prediction").first().asDict()
     return model, run_row(train.sparkSession, "final", "final_model_run", trial, scores)
 

@@ -1,12 +1,14 @@
 """How the trials of a search are run; their results are tested with the families."""
 
 import numpy as np
+import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from shelfwise.plans import train
 from shelfwise.plans.svr import Unfinished
 from shelfwise.plans.train import Trial
+from shelfwise.schemas import RUNS
 
 
 def vectors(spark, n):
@@ -47,3 +49,18 @@ def test_large_trials_begin_first_and_are_listed_in_order(spark, monkeypatch):
     assert {n for _, n in begun} == {min(5, spark.sparkContext.defaultParallelism)}
     assert [(r.run_id, r.model_type) for r in runs] == [(f"trial-{i:04d}", t.family) for i, t in enumerate(trials)]
     assert all(np.isclose(float(r.params["unfinished_gap"]), 0.5) and r.rmse is None for r in runs)
+
+
+def test_the_refit_is_spread_too(spark, monkeypatch):
+    begun, df = [], vectors(spark, 50)
+
+    def fit(rows, trial, label):
+        begun.append((trial.family, rows.rdd.getNumPartitions(), rows.count()))
+        raise Unfinished(0.5, 1)
+
+    monkeypatch.setattr(train, "fit_model", fit)
+    monkeypatch.setattr(train, "ROWS_A_TASK", 10, raising=False)
+    runs = spark.createDataFrame([("a", "b", "GBT", {"trees": "5"}, 1.0, 1.0, 1.0)], RUNS)
+    with pytest.raises(Unfinished):
+        train.finalize(df, df, runs)
+    assert begun == [("GBT", min(5, spark.sparkContext.defaultParallelism), 50)]
