@@ -1,5 +1,7 @@
 """How the trials of a search are run; their results are tested with the families."""
 
+import threading
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
@@ -64,3 +66,37 @@ def test_the_refit_is_spread_too(spark, monkeypatch):
     with pytest.raises(Unfinished):
         train.finalize(df, df, runs)
     assert begun == [("GBT", min(5, spark.sparkContext.defaultParallelism), 50)]
+
+
+def test_chained_trials_overlap_on_fewer_parts_after_the_forests(spark, monkeypatch):
+    """Five parts of ten rows; boosting reads two of them as one, and no row is lost."""
+    begun, df, cores = [], vectors(spark, 50), spark.sparkContext.defaultParallelism
+    if cores < 5:
+        pytest.skip("the parts follow the cores")
+    together = threading.Barrier(5)
+
+    def fit(rows, trial, label):
+        begun.append((trial.family, rows.rdd.getNumPartitions(), rows.count()))
+        if trial.family == "GBT":
+            together.wait(20)
+        raise Unfinished(0.5, 1)
+
+    monkeypatch.setattr(train, "fit_model", fit)
+    monkeypatch.setattr(train, "ROWS_A_TASK", 10)
+    monkeypatch.setattr(train, "ROWS_A_ROUND", 25, raising=False)
+    boosted = [Trial("GBT", {"trees": 500, "depth": d}) for d in range(20, 25)]
+    runs = train.run_trials(df, df, [*boosted, Trial("ExtraTrees", {"trees": 5, "depth": 2})], parallelism=2).collect()
+    assert begun[0] == ("ExtraTrees", 5, 50) and sorted(begun[1:]) == [("GBT", 2, 50)] * 5
+    assert [r.model_type for r in runs] == ["GBT"] * 5 + ["ExtraTrees"]
+
+
+def test_trials_over_few_parts_share_the_cores(spark):
+    df, cores = vectors(spark, 50), spark.sparkContext.defaultParallelism
+    assert train.at_once(2, df) == 2 * cores and train.at_once(1, df) == 1
+    assert train.at_once(2, df.repartition(cores)) == 2 and train.at_once(2, df.repartition(3 * cores)) == 2
+
+
+def test_an_unknown_family_is_still_an_error(spark):
+    df = vectors(spark, 50)
+    with pytest.raises(ValueError):
+        train.run_trials(df, df, [Trial("Ridge")])
